@@ -94,6 +94,8 @@ class _Nearest:
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, objectives = self.block.value
+        if not len(ids):
+            return
         least = np.full(len(objectives), -np.inf)
         pool: list[pd.DataFrame] = []
         pooled = 0

@@ -320,11 +320,11 @@ where {tokens('text')} + {generation_fixed_tokens()} > {r.SMALL_LIMIT} - 2 * {r.
     "guid_overlap": RATED
     + "select guid from rated intersect select doc_id::varchar from documents",
     "overlap_report": RATED
-    + f"""select count(distinct guid) as rated_guids, any_value(n) as note_rows, any_value(g) as note_guids,
+    + f"""select count(distinct guid) as rated_guids, any_value(c.n) as note_rows, any_value(g) as note_guids,
 count(distinct guid) filter (where guid in (select doc_id::varchar from documents)) as matching_guids,
-(any_value(n) < count(distinct guid) * {fixed.MISMATCH_FRACTION})::int as few_notes,
+(any_value(c.n) < count(distinct guid) * {fixed.MISMATCH_FRACTION})::int as few_notes,
 (count(distinct guid) filter (where guid in (select doc_id::varchar from documents)) = 0)::int as no_match
-from rated, (select count(*) as n, count(distinct doc_id) as g from documents)""",
+from rated, (select count(*) as n, count(distinct doc_id) as g from documents) c""",
     "tag_notes": RATED.rstrip() + "," + TAGGED + " select id, guid, tags, tagged from tagged",
     "tag_report": RATED.rstrip() + "," + TAGGED
     + " select count(*) as notes, sum(tagged)::bigint as tagged from tagged",
