@@ -7,6 +7,7 @@ their place as a callable with the same signature.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from functools import lru_cache
 from hashlib import md5
 
@@ -34,8 +35,10 @@ class HashingEmbedder:
         return [self._vector(t) for t in texts]
 
     def _vector(self, text: str) -> list[float]:
-        buckets = [_bucket(t, self.dim) for t in TOKEN.findall(text)]
-        counts = np.bincount(buckets, minlength=self.dim) if buckets else np.zeros(self.dim)
+        totals = [0] * self.dim
+        for token, n in Counter(TOKEN.findall(text)).items():
+            totals[_bucket(token, self.dim)] += n
+        counts = np.array(totals, dtype=np.float64)
         length = np.sqrt(float((counts * counts).sum())) or 1.0
         return (np.floor(counts / length * 4096.0 + 0.5) / 4096.0).tolist()
 

@@ -54,8 +54,16 @@ def with_token_count(
 def token_filter(
     df: DataFrame, text: str, max_tokens: int, tokenizer: Tokenizer | None = None
 ) -> DataFrame:
-    """Keep rows of at most `max_tokens` tokens, with the count in `tokens`."""
-    return with_token_count(df, text, tokenizer=tokenizer).filter(F.col("tokens") <= max_tokens)
+    """Keep rows of at most `max_tokens` tokens, with the count in `tokens`.
+
+    The count is made inside a one-element array that is filtered and unfolded:
+    a plain filter on it would be pushed below the projection and count twice.
+    """
+    if tokenizer is not None:
+        return with_token_count(df, text, tokenizer=tokenizer).filter(F.col("tokens") <= max_tokens)
+    counted = F.array(F.struct(token_count(text).alias("tokens")))
+    kept = F.filter(counted, lambda c: c["tokens"] <= max_tokens)
+    return df.select(*[c for c in df.columns if c != "tokens"], F.inline(kept))
 
 
 def truncate_text(col: Column | str, max_tokens: int | None) -> Column:
@@ -76,12 +84,9 @@ def truncate_text(col: Column | str, max_tokens: int | None) -> Column:
 
 def split_lines(df: DataFrame, text: str, line: str = "line", line_no: str = "line_no") -> DataFrame:
     """One row per non-blank line, stripped, numbered by its place in the text."""
+    lines = F.transform(F.split(text, "\n"), strip)
     others = [c for c in df.columns if c != text]
-    return (
-        df.select(*others, F.posexplode(F.split(text, "\n")).alias(line_no, line))
-        .withColumn(line, strip(line))
-        .filter(F.length(line) > 0)
-    )
+    return df.select(*others, F.posexplode(lines).alias(line_no, line)).filter(F.length(line) > 0)
 
 
 def clean_objective(col: Column | str) -> Column:

@@ -4,22 +4,24 @@ Scoring every objective against every note is a matrix product. The smaller
 side, the objectives, is cut into blocks of a checked size; each block goes to
 the executors once and meets the notes where they lie, so notes are never
 shuffled or repeated. A task keeps only the best k notes per objective while it
-reads, and a window over those few rows gives the final ranking.
+reads, fewer where a budget says so, and a window over those few rows gives the
+final ranking.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from tagloom.session import materialise
+from tagloom.session import materialise, splits
 
 # Largest objective block, in bytes of float64 components.
 BLOCK_BYTES = 64 << 20
@@ -27,7 +29,6 @@ BLOCK_BYTES = 64 << 20
 SCORE_CELLS = 4 << 20
 # Notes from more input splits than this are merged in two steps.
 MERGE_SPLITS = 256
-SPLIT_BYTES = 128 << 20
 
 
 def vector_dims(df: DataFrame, emb: str = "emb") -> DataFrame:
@@ -85,45 +86,63 @@ def _best_in_batch(scores: np.ndarray, least: np.ndarray, k: int) -> tuple[np.nd
     return np.nonzero(keep)
 
 
-class _Nearest:
-    """Task-side scan: batches of notes in, the best k notes per objective out."""
+def _leading(obj: np.ndarray, cost: np.ndarray | None, k: int, budget: int | None) -> np.ndarray:
+    """Mask over rows sorted by objective and rank: the first k, as far as a budget reaches.
+
+    A row is kept while the rows before it cost no more than the budget. Rows of
+    other tasks can only come in between, so what is cut here is out for good.
+    """
+    starts = np.flatnonzero(np.r_[True, obj[1:] != obj[:-1]])
+    sizes = np.diff(np.r_[starts, len(obj)])
+    keep = np.arange(len(obj)) - np.repeat(starts, sizes) < k
+    if budget is not None:
+        before = np.cumsum(cost) - cost
+        keep &= before - np.repeat(before[starts], sizes) <= budget
+    return keep
 
-    def __init__(self, block, k, obj_key, emb, key, carry, metric, decimals):
-        self.block, self.k, self.obj_key, self.emb = block, k, obj_key, emb
-        self.key, self.carry, self.metric, self.decimals = key, carry, metric, decimals
+
+@dataclass
+class _Nearest:
+    """Task-side scan: batches of notes in, the nearest notes per objective out."""
+
+    block: Broadcast  # objective keys, vectors, costs
+    k: int
+    obj_key: str
+    emb: str
+    key: list[str]
+    carry: list[str]
+    metric: str
+    decimals: int | None
+    cost: str | None
+    budget: int | None
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, objectives = self.block.value
+        ids, objectives, obj_cost = self.block.value
         if not len(ids):
             return
         least = np.full(len(objectives), -np.inf)
-        pool: list[pd.DataFrame] = []
-        pooled = 0
-        fields = None
+        pool: list[pa.Table] = []
+        settled = 0  # rows of the pool at its last cut
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            fields = [batch.schema.field(c) for c in (*self.key, *self.carry)]
-            order = pc.sort_indices(batch, [(c, "ascending") for c in self.key])
-            found = self._scan(pa.Table.from_batches([batch]).take(order), objectives, least)
+            found = self._scan(batch, objectives, obj_cost, least)
             if found is None:
                 continue
             pool.append(found)
-            pooled += len(found)
-            if pooled > 2 * self.k * len(objectives) or len(pool) == 1:
-                pool = [self._cut(pool)]
-                pooled = len(pool[0])
-                self._raise_least(pool[0], least)
+            if sum(map(len, pool)) > 2 * settled:
+                pool = [self._cut(pool, least)]
+                settled = len(pool[0])
         if pool:
-            yield from self._emit(self._cut(pool), ids, fields)
-
-    def _emit(self, best: pd.DataFrame, ids: pa.Array, fields: list[pa.Field]):
-        names = pa.schema([*fields, pa.field("cosine_sim", pa.float64())])
-        notes = pa.Table.from_pandas(best[names.names], schema=names, preserve_index=False)
-        out = notes.add_column(0, self.obj_key, ids.take(pa.array(best["obj_ix"].to_numpy())))
-        yield from out.combine_chunks().to_batches(max_chunksize=65536)
-
-    def _scan(self, rows: pa.Table, objectives: np.ndarray, least: np.ndarray):
+            best = self._cut(pool, least)
+            keys = ids.take(best.column("_obj"))
+            out = best.select([*self.key, *self.carry, "cosine_sim"]).add_column(0, self.obj_key, keys)
+            yield from out.combine_chunks().to_batches(max_chunksize=65536)
+
+    def _scan(self, batch, objectives, obj_cost, least) -> pa.Table | None:
+        # In key order, so that among equals the first column is the one to keep.
+        rows = pa.Table.from_batches([batch])
+        rows = rows.take(pc.sort_indices(rows, [(c, "ascending") for c in self.key]))
         vectors = _matrix(rows.column(self.emb))
         if vectors.shape[1] != objectives.shape[1]:
             raise ValueError(
@@ -131,37 +150,51 @@ class _Nearest:
             )
         if self.metric == "cosine":
             vectors = _unit(vectors)
+        note_cost = rows.column(self.cost).to_numpy() if self.cost else None
         step = max(1, SCORE_CELLS // len(vectors))
         found = []
         for start in range(0, len(objectives), step):
             scores = objectives[start : start + step] @ vectors.T
             if self.decimals is not None:
-                scores = np.round(scores, self.decimals)
+                np.round(scores, self.decimals, out=scores)
             np.copyto(scores, -np.inf, where=np.isnan(scores))
             obj, note = _best_in_batch(scores, least[start : start + step], self.k)
-            if obj.size:
-                found.append((obj + start, note, scores[obj, note]))
+            if not obj.size:
+                continue
+            sim = scores[obj, note]
+            obj += start
+            if self.budget is not None:
+                order = np.lexsort((note, -sim, obj))
+                obj, note, sim = obj[order], note[order], sim[order]
+                keep = _leading(obj, obj_cost[obj] + note_cost[note], self.k, self.budget)
+                obj, note, sim = obj[keep], note[keep], sim[keep]
+            found.append((obj, note, sim))
         if not found:
             return None
         obj, note, sim = (np.concatenate(part) for part in zip(*found, strict=True))
-        out = rows.select([*self.key, *self.carry]).take(pa.array(note)).to_pandas()
-        out.insert(0, "cosine_sim", sim)
-        out.insert(0, "obj_ix", obj.astype(np.int32))
-        return out
-
-    def _cut(self, pool: list[pd.DataFrame]) -> pd.DataFrame:
-        rows = pd.concat(pool, ignore_index=True) if len(pool) > 1 else pool[0]
-        rows = rows.sort_values(
-            ["obj_ix", "cosine_sim", *self.key],
-            ascending=[True, False] + [True] * len(self.key),
-            kind="stable",
+        out = rows.select([*self.key, *self.carry]).take(pa.array(note))
+        if self.budget is not None:
+            out = out.append_column("_cost", pa.array(obj_cost[obj] + note_cost[note]))
+        return out.append_column("_obj", pa.array(obj)).append_column("cosine_sim", pa.array(sim))
+
+    def _cut(self, pool: list[pa.Table], least: np.ndarray) -> pa.Table:
+        """The pool's leading rows per objective; raises the bar for full objectives."""
+        rows = pa.concat_tables(pool)
+        by_key = [(c, "ascending") for c in self.key]
+        rows = rows.take(
+            pc.sort_indices(rows, [("_obj", "ascending"), ("cosine_sim", "descending"), *by_key])
         )
-        return rows[rows.groupby("obj_ix").cumcount() < self.k].reset_index(drop=True)
-
-    def _raise_least(self, rows: pd.DataFrame, least: np.ndarray) -> None:
-        grouped = rows.groupby("obj_ix")["cosine_sim"]
-        worst = grouped.min()[grouped.size() >= self.k]
-        least[worst.index.to_numpy()] = worst.to_numpy()
+        obj = rows.column("_obj").to_numpy()
+        cost = rows.column("_cost").to_numpy() if self.budget is not None else None
+        keep = _leading(obj, cost, self.k, self.budget)
+        rows, obj = rows.filter(pa.array(keep)), obj[keep]
+        last = np.flatnonzero(np.r_[obj[1:] != obj[:-1], True])
+        full = np.diff(np.r_[-1, last]) >= self.k
+        if self.budget is not None:
+            spent = np.cumsum(cost[keep])[last]
+            full |= np.diff(np.r_[0, spent]) > self.budget
+        least[obj[last[full]]] = rows.column("cosine_sim").to_numpy()[last[full]]
+        return rows
 
 
 def _keep_best(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:
@@ -169,12 +202,6 @@ def _keep_best(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int
     return df.withColumn("rank", place).filter(F.col("rank") <= k)
 
 
-def _splits(df: DataFrame) -> int:
-    """About how many input splits a table has, from its planned size."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return min(int(size) // SPLIT_BYTES + 1, MERGE_SPLITS**2)
-
-
 def with_objective_id(
     objectives: DataFrame, key: Sequence[str] = ("name", "learning_objective"), emb: str = "emb"
 ) -> DataFrame:
@@ -193,6 +220,9 @@ def topk_similar(
     emb: str = "emb",
     metric: str = "dot",
     decimals: int | None = None,
+    budget: int | None = None,
+    cost: str = "tokens",
+    obj_cost: str = "pair_tokens",
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """The k most similar notes of every objective: keys, `carry`, similarity, rank.
@@ -200,12 +230,18 @@ def topk_similar(
     Ties go to the smaller note key. `obj_key` is unique per objective, `carry`
     names further note columns to keep, `decimals` rounds similarities before
     ranking. Rows without a vector take no part.
+
+    With a `budget`, rows whose predecessors cost more than it may be left out:
+    a pair costs the note's `cost` plus the objective's `obj_cost`. Tasks then
+    pass on far fewer than k rows; `walk.token_budget_cut` makes the final cut.
     """
     if metric not in ("dot", "cosine"):
         raise ValueError(f"unknown metric {metric!r}")
     has_vector = F.size(F.coalesce(emb, F.array())) > 0
-    notes = notes.filter(has_vector).select(*note_key, *carry, emb)
-    objectives = objectives.filter(has_vector).select(obj_key, emb)
+    note_columns = list(dict.fromkeys([*note_key, *carry, *([cost] if budget is not None else [])]))
+    notes = notes.filter(has_vector).select(*note_columns, emb)
+    price = F.col(obj_cost) if budget is not None else F.lit(0)
+    objectives = objectives.filter(has_vector).select(obj_key, emb, price.alias("_price"))
 
     size = objectives.agg(F.count("*").alias("n"), F.max(F.size(emb)).alias("dim")).first()
     blocks = max(1, math.ceil(size["n"] * (size["dim"] or 0) * 8 / block_bytes))
@@ -213,34 +249,35 @@ def topk_similar(
         place = F.pmod(F.xxhash64(obj_key), F.lit(blocks)).cast("int").alias("obj_block")
         objectives = materialise(objectives.select("*", place), "objective-blocks")
 
+    schema = T.StructType(
+        [
+            objectives.schema[obj_key],
+            *[notes.schema[c] for c in (*note_key, *carry)],
+            T.StructField("cosine_sim", T.DoubleType()),
+        ]
+    )
     near = []
     for b in range(blocks):
         block = objectives.filter(F.col("obj_block") == b) if blocks > 1 else objectives
         # Bounded: a block holds about `block_bytes`, whatever the table holds.
-        table = block.select(obj_key, emb).toArrow()
+        table = block.select(obj_key, emb, "_price").toArrow()
         matrix = _matrix(table.column(emb)) if table.num_rows else np.zeros((0, 1))
         if metric == "cosine":
             matrix = _unit(matrix)
-        ids = table.column(obj_key).combine_chunks()
-        ids = pa.concat_arrays(ids.chunks) if isinstance(ids, pa.ChunkedArray) else ids
+        ids = pa.concat_arrays(table.column(obj_key).chunks or [pa.array([], pa.int64())])
+        prices = table.column("_price").to_numpy()
         scan = _Nearest(
-            notes.sparkSession.sparkContext.broadcast((ids, matrix)),
+            notes.sparkSession.sparkContext.broadcast((ids, matrix, prices)),
             k, obj_key, emb, list(note_key), list(carry), metric, decimals,
-        )
-        schema = T.StructType(
-            [
-                objectives.schema[obj_key],
-                *[notes.schema[c] for c in (*note_key, *carry)],
-                T.StructField("cosine_sim", T.DoubleType()),
-            ]
+            cost if budget is not None else None, budget,
         )
         near.append(notes.mapInArrow(scan, schema))
     found = reduce(DataFrame.unionByName, near)
 
     order = [F.desc("cosine_sim"), *[F.asc(c) for c in note_key]]
-    splits = _splits(notes)
-    if splits > MERGE_SPLITS:
-        salt = F.pmod(F.xxhash64(*note_key), F.lit(math.isqrt(splits)))
+    parts = min(splits(notes), MERGE_SPLITS**2)
+    if parts > MERGE_SPLITS:
+        salt = F.pmod(F.xxhash64(*note_key), F.lit(math.isqrt(parts)))
         found = _keep_best(found.withColumn("salt", salt), [obj_key, "salt"], order, k)
         found = found.drop("salt", "rank")
     return _keep_best(found, [obj_key], order, k)

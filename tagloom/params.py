@@ -16,6 +16,9 @@ class EmbedParams:
     batch_size: int = 256
     attempts: int = 3
     wait: float = fixed.GENERATE_WAIT_SECONDS
+    # Number of tasks that call the model at once; None means all cores where
+    # the input has few splits, and its own splits otherwise.
+    parallelism: int | None = None
 
     @property
     def token_limit(self) -> int:
@@ -35,8 +38,7 @@ class ChatParams:
     batch_size: int = 32
     attempts: int = 3
     wait: float = fixed.RATE_WAIT_SECONDS
-    # Number of tasks that call the model at once; None leaves it to Spark.
-    parallelism: int | None = None
+    parallelism: int | None = None  # as above
 
 
 @dataclass(frozen=True)

@@ -16,7 +16,7 @@ from tagloom.operators import inference, objectives as obj, walk
 from tagloom.operators.assign import tag_notes
 from tagloom.operators.similarity import check_dims, topk_similar, with_objective_id
 from tagloom.params import Chat, ChatParams, Embedder, EmbedParams, Params, SelectParams, Tokenizer
-from tagloom.session import materialise, new_folder
+from tagloom.session import materialise, new_folder, spread
 from tagloom.sources import writers
 
 STAGES = ("embed", "objectives", "select", "tag")
@@ -29,7 +29,8 @@ def embed_notes(
     tokenizer: Tokenizer | None = None,
 ) -> DataFrame:
     """Notes within the token limit, with token count and vector."""
-    short = filter_by_tokens(notes, "card", params.token_limit, tokenizer)
+    spread_notes = spread(notes, params.parallelism)
+    short = filter_by_tokens(spread_notes, "card", params.token_limit, tokenizer)
     return inference.embed(
         short, "card", backend,
         batch_size=params.batch_size, max_tokens=params.truncate_tokens,
@@ -61,10 +62,11 @@ def make_objectives(
         ),
     ).select("name", "prompt", "completion_tokens")
     replies = inference.generate(
-        _spread(documents, params.chat), "prompt", chat, max_tokens="completion_tokens",
+        spread(documents, params.chat.parallelism), "prompt", chat, max_tokens="completion_tokens",
         batch_size=params.chat.batch_size, attempts=params.chat.attempts,
     ).select("name", "reply")
-    lines = obj.objective_lines(materialise(replies, "replies"), drop_empty=drop_empty)
+    replies = spread(materialise(replies, "replies"), params.embed.parallelism)
+    lines = obj.objective_lines(replies, drop_empty=drop_empty)
     text = "line" if embed_on == "raw" else "learning_objective"
     counted = lines.withColumn("tokens", token_count(text))
     embedded = inference.embed(
@@ -75,11 +77,6 @@ def make_objectives(
     return embedded.select(*schemas.OBJECTIVES.names), too_long
 
 
-def _spread(df: DataFrame, params: ChatParams, *by: str) -> DataFrame:
-    """Spread model calls over a set number of tasks, where one is given."""
-    return df.repartition(params.parallelism, *by) if params.parallelism else df
-
-
 def candidate_pairs(
     notes: DataFrame,
     objectives: DataFrame,
@@ -95,26 +92,24 @@ def candidate_pairs(
     card, or by guid alone where `unique_guid` says that is enough.
     """
     check_dims(notes, objectives, every_row=every_row_dims)
-    objectives = with_objective_id(objectives)
+    base = prompts.rating_fixed_tokens(params.card_kind)
+    question_tokens = token_count("learning_objective")
+    objectives = with_objective_id(objectives).withColumn("pair_tokens", F.lit(base) + question_tokens)
     key = ["guid"]
     if not unique_guid:
         notes = notes.withColumn("card_id", F.xxhash64("card"))
         key = ["guid", "card_id"]
-    base = prompts.rating_fixed_tokens(params.card_kind)
-    k = walk.max_rated(params.token_budget, base)
     ranked = topk_similar(
-        notes, objectives, k, note_key=key, carry=["tokens"], metric=params.metric
-    )
-    question = objectives.select(
-        "obj_id", "name", "learning_objective",
-        token_count("learning_objective").alias("objective_tokens"),
+        notes, objectives, walk.max_rated(params.token_budget, base),
+        note_key=key, carry=["tokens"], metric=params.metric, budget=params.token_budget,
     )
+    question = objectives.select("obj_id", "name", "learning_objective", "pair_tokens")
     priced = ranked.join(question, "obj_id").withColumn(
-        "prompt_tokens", F.lit(base) + F.col("objective_tokens") + F.col("tokens")
+        "prompt_tokens", F.col("pair_tokens") + F.col("tokens")
     )
     near = walk.token_budget_cut(priced, ["obj_id"], "rank", params.token_budget)
     # Read twice below; the ranking should not run twice.
-    near = materialise(near.drop("objective_tokens", "tokens", "used_before"), "candidates")
+    near = materialise(near.drop("pair_tokens", "tokens", "used_before"), "candidates")
     texts = notes.select(*key, "card").join(near.select(*key).distinct(), key, "left_semi")
     if not unique_guid:
         texts = texts.groupBy(*key).agg(F.min("card").alias("card"))
@@ -159,7 +154,7 @@ def rate_and_cut(
         rated = walked.withColumn("gpt_reply", normalise_reply("gpt_reply"))
     elif params.mode == "eager":
         replies = inference.judge(
-            _spread(pairs, chat), "prompt", judge, max_tokens="completion_tokens"
+            spread(pairs, chat.parallelism), "prompt", judge, max_tokens="completion_tokens"
         ).drop("prompt")
         # Replies are what costs; nothing after this point asks for them again.
         replies = materialise(replies, "replies")

@@ -14,7 +14,7 @@ from tagloom.functions import prompts, scores, text, vectors
 from tagloom.operators import assign, inference, objectives as obj, similarity, walk
 from tagloom.params import ChatParams, EmbedParams, Params, SelectParams
 from tagloom.plans import jobs
-from tagloom.session import materialise, new_folder
+from tagloom.session import materialise, new_folder, spread
 from tagloom.sources import readers, writers
 from tagloom.streaming import incremental
 
@@ -30,6 +30,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents, spread over the cores where the table has few splits."""
+    return spread(table(spark, sf_dir, "documents"))
+
+
 # --- views -----------------------------------------------------------------
 
 
@@ -201,23 +206,23 @@ def largest_source(spark, sf_dir):
 
 
 def token_count(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", text.token_count("text").alias("tokens"))
+    return documents(spark, sf_dir).select("doc_id", text.token_count("text").alias("tokens"))
 
 
 def token_filter(spark, sf_dir):
-    kept = text.token_filter(notes_view(spark, sf_dir), "card", EmbedParams().token_limit)
+    kept = text.token_filter(spread(notes_view(spark, sf_dir)), "card", EmbedParams().token_limit)
     return kept.select("guid", "tokens", "card")
 
 
 def truncate_text(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select(
+    return documents(spark, sf_dir).select(
         "doc_id", text.truncate_text("text", TRUNCATE_TOKENS).alias("text")
     )
 
 
 def decorated(spark, sf_dir):
     """Document lines dressed up as a model writes lists: numbers, dashes, headings."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = documents(spark, sf_dir).select("doc_id", "text")
 
     def dress(line, i):
         return (
@@ -265,7 +270,7 @@ def rating_prompt(spark, sf_dir):
 
 def _generation(spark, sf_dir):
     prompt = prompts.generation_prompt("text")
-    return table(spark, sf_dir, "documents").select(
+    return documents(spark, sf_dir).select(
         "doc_id",
         prompts.prompt_text(prompt).alias("prompt"),
         prompts.prompt_tokens(prompt).alias("prompt_tokens"),
@@ -303,7 +308,7 @@ def parse_score(spark, sf_dir):
     ]
     reply = F.element_at(F.array(*shapes), F.col("l_linenumber").cast("int"))
     score = scores.parse_score(scores.normalise_reply(reply))
-    return table(spark, sf_dir, "lineitem").select(
+    return spread(table(spark, sf_dir, "lineitem")).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", score.alias("score")
     )
 
@@ -423,7 +428,7 @@ def select_pairs_lazy(spark, sf_dir):
 
 
 def embed_texts(spark, sf_dir):
-    found = inference.get_embedding(notes_view(spark, sf_dir), "card", HashingEmbedder())
+    found = inference.get_embedding(spread(notes_view(spark, sf_dir)), "card", HashingEmbedder())
     return found.select(F.col("card"), fingerprint().alias("emb"))
 
 
@@ -438,7 +443,7 @@ class OverflowingEmbedder(HashingEmbedder):
 
 def embed_retry(spark, sf_dir):
     found = inference.embed(
-        notes_view(spark, sf_dir), "card", OverflowingEmbedder(), batch_size=16, wait=0.0,
+        spread(notes_view(spark, sf_dir)), "card", OverflowingEmbedder(), batch_size=16, wait=0.0,
         max_tokens=EmbedParams().truncate_tokens,
     )
     return found.select("guid", fingerprint().alias("emb"), "emb_error")

@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+_shipped: set[str] = set()
+
+SPLIT_BYTES = 128 << 20
+
 
 def build_session(app: str = "tagloom", **conf: str) -> SparkSession:
     """A session for local use and tests; a cluster brings its own."""
@@ -18,7 +24,38 @@ def build_session(app: str = "tagloom", **conf: str) -> SparkSession:
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return ship(builder.getOrCreate())
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Send this package to the Python workers, once per application."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).parent
+        archive = Path(tempfile.mkdtemp(prefix="tagloom-")) / "tagloom.zip"
+        with zipfile.ZipFile(archive, "w") as z:
+            for source in sorted(package.rglob("*.py")):
+                z.write(source, source.relative_to(package.parent))
+        context.addPyFile(str(archive))
+        _shipped.add(context.applicationId)
+    return spark
+
+
+def splits(df: DataFrame) -> int:
+    """About how many input splits a table has, from its planned size."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(size) // SPLIT_BYTES + 1
+
+
+def spread(df: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Spread costly row work over `tasks`, or over all cores when the input has few splits.
+
+    A table with at least as many splits as cores stays where it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if tasks is None and splits(df) >= cores:
+        return df
+    return df.repartition(tasks or cores)
 
 
 def scratch_root(spark: SparkSession) -> str:
