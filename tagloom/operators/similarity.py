@@ -46,16 +46,22 @@ def vector_dims(df: DataFrame, emb: str = "emb") -> DataFrame:
 def check_dims(
     notes: DataFrame, objectives: DataFrame, emb: str = "emb", every_row: bool = False
 ) -> None:
-    """Raise when the two sides hold vectors of different lengths."""
-    n, o = vector_dims(notes, emb).first(), vector_dims(objectives, emb).first()
-    if not n["vectors"] or not o["vectors"]:
+    """Raise when the two sides hold vectors of different lengths.
+
+    Compares the first non-empty vector of each side, which takes no full scan;
+    with `every_row` all of them. A side without vectors is not compared.
+    """
+    if every_row:
+        found = [vector_dims(df, emb).first() for df in (notes, objectives)]
+        lengths = {d for row in found if row["vectors"] for d in (row["min_dim"], row["max_dim"])}
+        if len(lengths) > 1:
+            raise ValueError(f"vector lengths differ: {sorted(lengths)}")
         return
-    if n["first_dim"] != o["first_dim"]:
+    sizes = [df.select(F.size(emb).alias("n")).filter("n > 0").first() for df in (notes, objectives)]
+    if all(sizes) and sizes[0]["n"] != sizes[1]["n"]:
         raise ValueError(
-            f"vector lengths differ: notes {n['first_dim']}, objectives {o['first_dim']}"
+            f"vector lengths differ: notes {sizes[0]['n']}, objectives {sizes[1]['n']}"
         )
-    if every_row and len({n["min_dim"], n["max_dim"], o["min_dim"], o["max_dim"]}) > 1:
-        raise ValueError("some vectors differ in length from the others")
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:

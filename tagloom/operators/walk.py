@@ -121,7 +121,6 @@ def walk_lazy(
     order: str,
     token_budget: int,
     max_poor: int,
-    fixed_tokens: int,
     rate,
     out_schema,
     tokens: str = "prompt_tokens",
@@ -132,16 +131,15 @@ def walk_lazy(
     With a poor run of length p behind it, a walk is certain to visit the next
     `max_poor + 1 - p` notes within the budget, so these are rated in one call.
     `rate` takes a frame of rows and returns it with `score` and further
-    columns; `out_schema` is the schema of its result.
+    columns; `out_schema` is the schema of its result. The budget applies first
+    and bounds the rows a task holds per group.
     """
-    bounded = bound_ranking(df, by, order, token_budget, fixed_tokens)
     if parallelism:
-        bounded = bounded.repartition(parallelism, *by)
+        df = df.repartition(parallelism, *by)
+    within = token_budget_cut(df, by, order, token_budget, tokens).drop("used_before")
 
     def walk(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(order, kind="stable")
-        used_before = group[tokens].cumsum().shift(fill_value=0)
-        group = group[used_before <= token_budget]
         done, run, at = [], 0, 0
         while at < len(group) and run <= max_poor:
             rated = rate(group.iloc[at : at + max_poor + 1 - run])
@@ -151,4 +149,4 @@ def walk_lazy(
             at += len(rated)
         return pd.concat(done)[out_schema.names]
 
-    return bounded.groupBy(*by).applyInPandas(walk, out_schema)
+    return within.groupBy(*by).applyInPandas(walk, out_schema)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Collection
 from functools import partial
 
@@ -10,15 +11,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tagloom import schemas
 from tagloom.functions import prompts
 from tagloom.functions.scores import normalise_reply, parse_score
-from tagloom.functions.text import token_count
+from tagloom.functions.text import token_count, with_token_count
 from tagloom.functions.text import token_filter as filter_by_tokens
 from tagloom.operators import inference, objectives as obj, walk
 from tagloom.operators.assign import tag_notes
 from tagloom.operators.similarity import check_dims, topk_similar, with_objective_id
 from tagloom.params import Chat, ChatParams, Embedder, EmbedParams, Params, SelectParams, Tokenizer
-from tagloom.session import materialise, new_folder, spread
+from tagloom.session import materialise, spread
 from tagloom.sources import writers
 
+# Most key hashes that are broadcast; each takes some 16 bytes on an executor.
+BROADCAST_KEYS = 8 << 20
+
 STAGES = ("embed", "objectives", "select", "tag")
 
 
@@ -45,32 +49,41 @@ def make_objectives(
     params: Params = Params(),
     embed_on: str = "raw",
     drop_empty: bool = False,
+    tokenizer: Tokenizer | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Embedded objectives of every document, and the documents that are too long.
 
     Token counts and vectors come from the line as generated unless `embed_on`
-    is "clean". Replies are materialised, so the chat model runs once.
+    is "clean". Replies are materialised, so the chat model runs once. With a
+    `tokenizer` a document is measured after it was assembled; without one, the
+    too long ones are found from their pages and never assembled.
     """
     if embed_on not in ("raw", "clean"):
         raise ValueError(f"unknown embed_on {embed_on!r}")
-    fitting, too_long = obj.split_by_length(pages, params.chat.max_tokens, params.chat.buffer)
-    documents = obj.assemble_text(fitting).withColumn("prompt", prompts.generation_prompt("text"))
-    documents = documents.withColumn(
-        "completion_tokens",
-        prompts.remaining_tokens(
-            prompts.prompt_tokens("prompt"), params.chat.max_tokens, params.chat.buffer
-        ),
-    ).select("name", "prompt", "completion_tokens")
+    limits = params.chat.max_tokens, params.chat.buffer
+    if tokenizer is None:
+        pages, too_long = obj.split_by_length(pages, *limits)
+    documents = obj.assemble_text(pages).withColumn("prompt", prompts.generation_prompt("text"))
+    if tokenizer is None:
+        documents = documents.withColumn("prompt_tokens", prompts.prompt_tokens("prompt"))
+    else:
+        whole = documents.withColumn("prompt_text", prompts.prompt_text("prompt"))
+        counted = with_token_count(whole, "prompt_text", "prompt_tokens", tokenizer)
+        counted = materialise(counted.drop("prompt_text", "text"), "documents")
+        fits = prompts.fits_strict("prompt_tokens", *limits)
+        documents = counted.filter(fits)
+        too_long = counted.filter(~fits).select("name", F.col("prompt_tokens").alias("text_tokens"))
+    left = prompts.remaining_tokens("prompt_tokens", *limits)
+    documents = documents.select("name", "prompt", left.alias("completion_tokens"))
     replies = inference.generate(
         spread(documents, params.chat.parallelism), "prompt", chat, max_tokens="completion_tokens",
-        batch_size=params.chat.batch_size, attempts=params.chat.attempts,
+        batch_size=params.chat.batch_size, attempts=params.chat.attempts, wait=params.chat.wait,
     ).select("name", "reply")
     replies = spread(materialise(replies, "replies"), params.embed.parallelism)
-    lines = obj.objective_lines(replies, drop_empty=drop_empty)
     text = "line" if embed_on == "raw" else "learning_objective"
-    counted = lines.withColumn("tokens", token_count(text))
+    lines = obj.objective_lines(replies, drop_empty=drop_empty)
     embedded = inference.embed(
-        counted, text, backend,
+        with_token_count(lines, text, tokenizer=tokenizer), text, backend,
         batch_size=params.embed.batch_size, max_tokens=params.embed.truncate_tokens,
         attempts=params.embed.attempts, wait=params.embed.wait,
     )
@@ -84,42 +97,84 @@ def candidate_pairs(
     *,
     unique_guid: bool = False,
     every_row_dims: bool = False,
+    tokenizer: Tokenizer | None = None,
+    min_prompt_tokens: int | None = None,
 ) -> DataFrame:
-    """Ranked pairs within the token budget, with texts and prompt.
+    """Ranked pairs within the token budget, with texts and prompt tokens.
 
     Ranking and budget work on keys, vectors and token counts alone; only the
     pairs that are left fetch their texts. Notes are told apart by guid and
     card, or by guid alone where `unique_guid` says that is enough.
+
+    A `tokenizer` counts whole prompts, so texts are fetched before the budget
+    applies; `min_prompt_tokens`, a proven lower bound of its counts, then says
+    how far down a ranking the budget can reach.
     """
+    if (tokenizer is None) != (min_prompt_tokens is None):
+        raise ValueError("tokenizer and min_prompt_tokens go together")
     check_dims(notes, objectives, every_row=every_row_dims)
     base = prompts.rating_fixed_tokens(params.card_kind)
-    question_tokens = token_count("learning_objective")
-    objectives = with_objective_id(objectives).withColumn("pair_tokens", F.lit(base) + question_tokens)
-    key = ["guid"]
+    question_tokens = F.lit(base) + token_count("learning_objective")
+    objectives = with_objective_id(objectives).withColumn("pair_tokens", question_tokens)
+    key = ["guid"] if unique_guid else ["guid", "card_id"]
     if not unique_guid:
         notes = notes.withColumn("card_id", F.xxhash64("card"))
-        key = ["guid", "card_id"]
     ranked = topk_similar(
-        notes, objectives, walk.max_rated(params.token_budget, base),
-        note_key=key, carry=["tokens"], metric=params.metric, budget=params.token_budget,
+        notes, objectives, walk.max_rated(params.token_budget, min_prompt_tokens or base),
+        note_key=key, carry=["tokens"], metric=params.metric,
+        budget=params.token_budget if tokenizer is None else None,
     )
     question = objectives.select("obj_id", "name", "learning_objective", "pair_tokens")
-    priced = ranked.join(question, "obj_id").withColumn(
-        "prompt_tokens", F.col("pair_tokens") + F.col("tokens")
+    near = ranked.join(question, "obj_id").withColumn(
+        "prompt_tokens", (F.col("pair_tokens") + F.col("tokens")).cast("int")
     )
-    near = walk.token_budget_cut(priced, ["obj_id"], "rank", params.token_budget)
-    # Read twice below; the ranking should not run twice.
-    near = materialise(near.drop("pair_tokens", "tokens", "used_before"), "candidates")
-    texts = notes.select(*key, "card").join(near.select(*key).distinct(), key, "left_semi")
-    if not unique_guid:
-        texts = texts.groupBy(*key).agg(F.min("card").alias("card"))
-    return (
-        near.join(texts, key)
-        .withColumn("prompt", prompts.rating_prompt("learning_objective", "card", params.card_kind))
-        .select(
-            "obj_id", "guid", "card", F.col("name").alias("tag"), "cosine_sim",
-            F.col("learning_objective").alias("objective"), "rank", "prompt", "prompt_tokens",
-        )
+    if tokenizer is None:
+        near = walk.token_budget_cut(near, ["obj_id"], "rank", params.token_budget)
+    # Read more than once below; the ranking should not run again.
+    near = materialise(
+        near.select(
+            "obj_id", *key, F.col("name").alias("tag"), "cosine_sim",
+            F.col("learning_objective").alias("objective"), "rank", "prompt_tokens",
+        ),
+        "candidates",
+    )
+    pairs = near.join(_texts_of(notes.select(*key, "card"), near, key, unique_guid), key)
+    pairs = pairs.drop("card_id")
+    if tokenizer is not None:
+        prompt = prompts.prompt_text(prompts.rating_prompt("objective", "card", params.card_kind))
+        counted = with_token_count(
+            pairs.withColumn("prompt_text", prompt), "prompt_text", "prompt_tokens", tokenizer
+        ).drop("prompt_text")
+        pairs = walk.token_budget_cut(counted, ["obj_id"], "rank", params.token_budget)
+        pairs = pairs.drop("used_before")
+    return pairs
+
+
+def _texts_of(notes: DataFrame, wanted: DataFrame, key: list[str], unique: bool) -> DataFrame:
+    """The notes that `wanted` names, one row per key.
+
+    While their number allows it, hashes of the keys go to every executor, so
+    that the other notes drop out where they are read and are never shuffled.
+    """
+    hashes = wanted.select(F.xxhash64(*key).alias("_hash")).distinct()
+    if hashes.count() <= BROADCAST_KEYS:
+        near = notes.withColumn("_hash", F.xxhash64(*key))
+        notes = near.join(F.broadcast(hashes), "_hash", "left_semi").drop("_hash")
+    else:
+        notes = notes.join(wanted.select(*key).distinct(), key, "left_semi")
+    return notes if unique else notes.groupBy(*key).agg(F.min("card").alias("card"))
+
+
+def with_prompts(
+    pairs: DataFrame, params: SelectParams = SelectParams(), chat: ChatParams = ChatParams()
+) -> DataFrame:
+    """Add the rating prompt and the tokens its reply may take."""
+    left = prompts.remaining_clamped("prompt_tokens", chat.max_tokens, chat.buffer)
+    return pairs.withColumns(
+        {
+            "prompt": prompts.rating_prompt("objective", "card", params.card_kind),
+            "completion_tokens": left,
+        }
     )
 
 
@@ -134,13 +189,8 @@ def rate_and_cut(
     "eager" rates every pair within the budget at once and cuts afterwards;
     "lazy" walks objective by objective and rates nothing in vain.
     """
-    pairs = pairs.withColumn(
-        "completion_tokens",
-        prompts.remaining_clamped("prompt_tokens", chat.max_tokens, chat.buffer),
-    )
     if params.mode == "lazy":
-        base = prompts.rating_fixed_tokens(params.card_kind)
-        kept = [f for f in pairs.schema.fields if f.name != "prompt"]
+        kept = pairs.schema.fields
         schema = T.StructType(
             [*kept, *inference.JUDGEMENT, T.StructField("score", T.IntegerType())]
         )
@@ -148,14 +198,15 @@ def rate_and_cut(
             inference.rate_frame, prompt="prompt", judge=judge, max_tokens="completion_tokens"
         )
         walked = walk.walk_lazy(
-            pairs, ["obj_id"], "rank", params.token_budget, params.max_poor_run, base, rate, schema,
+            with_prompts(pairs, params, chat), ["obj_id"], "rank", params.token_budget, params.max_poor_run, rate, schema,
             parallelism=chat.parallelism,
         )
         rated = walked.withColumn("gpt_reply", normalise_reply("gpt_reply"))
     elif params.mode == "eager":
-        replies = inference.judge(
-            spread(pairs, chat.parallelism), "prompt", judge, max_tokens="completion_tokens"
-        ).drop("prompt")
+        # Prompts repeat the card, so they are made where the pairs ended up.
+        asked = with_prompts(spread(pairs, chat.parallelism), params, chat)
+        replies = inference.judge(asked, "prompt", judge, max_tokens="completion_tokens")
+        replies = replies.drop("prompt", "completion_tokens")
         # Replies are what costs; nothing after this point asks for them again.
         replies = materialise(replies, "replies")
         scored = replies.withColumn("gpt_reply", normalise_reply("gpt_reply")).withColumn(
@@ -210,6 +261,8 @@ def run_all(
 ) -> DataFrame:
     """Embed, make objectives, select, tag; stages meet in Parquet tables below `folder`.
 
+    Every run writes a new version of the tagged note table.
+
     A stage named in `skip` is left out and its output has to be there already.
     Inputs are checked before any stage starts. Returns the tagged note table.
     """
@@ -232,7 +285,7 @@ def run_all(
     if "tag" in skip:
         return spark.read.parquet(tables["ratings"])
     tagged = tag_notes(note_table, spark.read.parquet(tables["ratings"]), params.tag)
-    version = new_folder(spark, "tagged")
+    version = f"{tables['tagged']}/{uuid.uuid4().hex}"
     tagged.write.parquet(version)
     return spark.read.parquet(version)
 

@@ -73,14 +73,14 @@ def embedded_notes(spark, sf_dir):
 
 def embedded_objectives(spark, sf_dir):
     counted = text.with_token_count(objective_texts(spark, sf_dir), "learning_objective")
-    return inference.embed(counted, "learning_objective", HashingEmbedder()).drop("emb_error")
+    embedded = inference.embed(counted, "learning_objective", HashingEmbedder()).drop("emb_error")
+    return materialise(embedded, "objectives")
 
 
 def candidates(spark, sf_dir):
     """Ranked pairs within the token budget, written once and used from there."""
     notes = writers.write_once(embedded_notes(spark, sf_dir), new_folder(spark, "notes"))
-    pairs = jobs.candidate_pairs(notes, embedded_objectives(spark, sf_dir), unique_guid=True)
-    return pairs
+    return jobs.candidate_pairs(notes, embedded_objectives(spark, sf_dir), unique_guid=True)
 
 
 def scored_candidates(spark, sf_dir):
@@ -183,7 +183,7 @@ def incremental_stream(spark, sf_dir):
     """Rate objectives as they arrive, in two runs of one stream."""
     source, out, checkpoint = (new_folder(spark, n) for n in ("arrivals", "rated", "stream"))
     notes = writers.write_once(embedded_notes(spark, sf_dir), new_folder(spark, "notes"))
-    arrivals = materialise(embedded_objectives(spark, sf_dir), "objectives")
+    arrivals = embedded_objectives(spark, sf_dir)
 
     def rate(batch):
         pairs = jobs.candidate_pairs(notes, batch, unique_guid=True)
@@ -261,7 +261,7 @@ def objective_counts(spark, sf_dir):
 
 
 def rating_prompt(spark, sf_dir):
-    return candidates(spark, sf_dir).select(
+    return jobs.with_prompts(candidates(spark, sf_dir)).select(
         "tag", "objective", "guid",
         prompts.prompt_text("prompt").alias("prompt"),
         prompts.prompt_tokens("prompt").alias("prompt_tokens"),
@@ -387,7 +387,7 @@ def sim_rank(spark, sf_dir):
 
 
 def token_budget(spark, sf_dir):
-    pairs = candidates(spark, sf_dir).drop("prompt", "card")
+    pairs = candidates(spark, sf_dir).drop("card")
     cut = walk.token_budget_cut(pairs, ["obj_id"], "rank", SelectParams().token_budget // 2)
     return cut.select("tag", "objective", "guid", "rank", "prompt_tokens", "used_before")
 
@@ -407,14 +407,11 @@ def select_pairs(spark, sf_dir):
 def select_pairs_fold(spark, sf_dir):
     """The same rows from a fold over replies to all candidates."""
     params = SelectParams()
-    replies = inference.judge(
-        candidates(spark, sf_dir).withColumn("limit", prompts.remaining_clamped("prompt_tokens")),
-        "prompt", inference.Judge(HashJudge()), max_tokens="limit",
-    ).withColumn("gpt_reply", scores.normalise_reply("gpt_reply"))
-    scored = replies.withColumn("score", scores.parse_score("gpt_reply"))
-    rows = scored.select("obj_id", "prompt_tokens", *RATED)
+    replies = _judged(spark, sf_dir).withColumn("gpt_reply", scores.normalise_reply("gpt_reply"))
+    rows = replies.withColumn("score", scores.parse_score("gpt_reply"))
     kept = walk.walk_fold(
-        rows, ["obj_id"], "rank", params.token_budget, POOR_RUN, prompts.rating_fixed_tokens()
+        rows.select("obj_id", "prompt_tokens", *RATED), ["obj_id"], "rank",
+        params.token_budget, POOR_RUN, prompts.rating_fixed_tokens(),
     )
     return kept.select(*RATED)
 
@@ -467,8 +464,9 @@ def make_objectives_rejected(spark, sf_dir):
 
 
 def _judged(spark, sf_dir, **options):
-    pairs = candidates(spark, sf_dir).withColumn("limit", prompts.remaining_clamped("prompt_tokens"))
-    return inference.judge(pairs, "prompt", inference.Judge(HashJudge(), **options), max_tokens="limit")
+    pairs = jobs.with_prompts(candidates(spark, sf_dir))
+    judge = inference.Judge(HashJudge(), **options)
+    return inference.judge(pairs, "prompt", judge, max_tokens="completion_tokens")
 
 
 def judge_pairs(spark, sf_dir):

@@ -28,7 +28,8 @@ PAGES = T.StructType(
 )
 
 # `rank` is the position of the pair in its objective's walk; it stands for
-# the row order that a single-file table would carry implicitly.
+# the row order that a single-file table would carry implicitly. `rate_error`
+# tells a pair the model failed on from one it gave no score.
 RATINGS = T.StructType(
     [
         T.StructField("guid", T.StringType()),
@@ -39,6 +40,7 @@ RATINGS = T.StructType(
         T.StructField("score", T.IntegerType()),
         T.StructField("objective", T.StringType()),
         T.StructField("rank", T.IntegerType()),
+        T.StructField("rate_error", T.StringType()),
     ]
 )
 
