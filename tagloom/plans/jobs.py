@@ -258,13 +258,14 @@ def run_all(
     note_table: DataFrame | None = None,
     params: Params = Params(),
     skip: Collection[str] = (),
-) -> DataFrame:
+) -> DataFrame | None:
     """Embed, make objectives, select, tag; stages meet in Parquet tables below `folder`.
 
     Every run writes a new version of the tagged note table.
 
     A stage named in `skip` is left out and its output has to be there already.
-    Inputs are checked before any stage starts. Returns the tagged note table.
+    Inputs are checked before any stage starts. Returns the tagged note table,
+    or None where the last stage is skipped.
     """
     unknown = set(skip) - set(STAGES)
     if unknown:
@@ -283,7 +284,7 @@ def run_all(
             judge, tables["ratings"], params=params.select, chat=params.chat,
         )
     if "tag" in skip:
-        return spark.read.parquet(tables["ratings"])
+        return None
     tagged = tag_notes(note_table, spark.read.parquet(tables["ratings"]), params.tag)
     version = f"{tables['tagged']}/{uuid.uuid4().hex}"
     tagged.write.parquet(version)
