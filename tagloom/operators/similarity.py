@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from tagloom.session import materialise, splits
 
 # Largest objective block, in bytes of float64 components.
-BLOCK_BYTES = 64 << 20
+BLOCK_BYTES = 128 << 20
 # Largest score matrix a task holds at once, in cells.
 SCORE_CELLS = 4 << 20
 # Notes from more input splits than this are merged in two steps.
@@ -33,8 +33,7 @@ MERGE_SPLITS = 256
 
 def vector_dims(df: DataFrame, emb: str = "emb") -> DataFrame:
     """One row: length of the first non-empty vector, least and largest length, rows."""
-    filled = F.nullif(F.size(emb), F.lit(0))
-    filled = F.when(filled > 0, filled)
+    filled = F.when(F.size(emb) > 0, F.size(emb))
     return df.agg(
         F.first(filled, ignorenulls=True).alias("first_dim"),
         F.min(filled).alias("min_dim"),

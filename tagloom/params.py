@@ -38,7 +38,7 @@ class ChatParams:
     batch_size: int = 32
     attempts: int = 3
     wait: float = fixed.GENERATE_WAIT_SECONDS
-    parallelism: int | None = None  # as above
+    parallelism: int | None = None  # as above; None means all cores
 
 
 @dataclass(frozen=True)

@@ -17,7 +17,7 @@ from tagloom.operators import inference, objectives as obj, walk
 from tagloom.operators.assign import tag_notes
 from tagloom.operators.similarity import check_dims, topk_similar, with_objective_id
 from tagloom.params import Chat, ChatParams, Embedder, EmbedParams, Params, SelectParams, Tokenizer
-from tagloom.session import materialise, spread
+from tagloom.session import cores, materialise, spread
 from tagloom.sources import writers
 
 # Most key hashes that are broadcast; each takes some 16 bytes on an executor.
@@ -76,7 +76,7 @@ def make_objectives(
     left = prompts.remaining_tokens("prompt_tokens", *limits)
     documents = documents.select("name", "prompt", left.alias("completion_tokens"))
     replies = inference.generate(
-        spread(documents, params.chat.parallelism), "prompt", chat, max_tokens="completion_tokens",
+        documents.repartition(params.chat.parallelism or cores(pages.sparkSession)), "prompt", chat, max_tokens="completion_tokens",
         batch_size=params.chat.batch_size, attempts=params.chat.attempts, wait=params.chat.wait,
     ).select("name", "reply")
     replies = spread(materialise(replies, "replies"), params.embed.parallelism)
@@ -186,9 +186,13 @@ def rate_and_cut(
 ) -> DataFrame:
     """Rate candidate pairs and keep those a walk down each ranking would visit.
 
+    Pairs are spread over all cores first: what a call takes counts for more
+    here than what a row weighs.
+
     "eager" rates every pair within the budget at once and cuts afterwards;
     "lazy" walks objective by objective and rates nothing in vain.
     """
+    tasks = chat.parallelism or cores(pairs.sparkSession)
     if params.mode == "lazy":
         kept = pairs.schema.fields
         schema = T.StructType(
@@ -199,12 +203,12 @@ def rate_and_cut(
         )
         walked = walk.walk_lazy(
             with_prompts(pairs, params, chat), ["obj_id"], "rank", params.token_budget, params.max_poor_run, rate, schema,
-            parallelism=chat.parallelism,
+            parallelism=tasks,
         )
         rated = walked.withColumn("gpt_reply", normalise_reply("gpt_reply"))
     elif params.mode == "eager":
         # Prompts repeat the card, so they are made where the pairs ended up.
-        asked = with_prompts(spread(pairs, chat.parallelism), params, chat)
+        asked = with_prompts(pairs.repartition(tasks), params, chat)
         replies = inference.judge(asked, "prompt", judge, max_tokens="completion_tokens")
         replies = replies.drop("prompt", "completion_tokens")
         # Replies are what costs; nothing after this point asks for them again.
@@ -276,8 +280,11 @@ def run_all(
     if "embed" not in skip:
         writers.write_once(embed_notes(notes, embedder, params.embed), tables["notes"])
     if "objectives" not in skip:
-        made, _ = make_objectives(pages, chat, embedder, params)
-        writers.append_new(made, tables["objectives"], ["name"])
+        # Documents that are done cost no further model call.
+        done = writers.read_if_exists(spark, tables["objectives"])
+        fresh = writers.not_done(pages, done, ["name"])
+        made, _ = make_objectives(fresh, chat, embedder, params)
+        made.write.mode("append").parquet(tables["objectives"])
     if "select" not in skip:
         select_new(
             spark.read.parquet(tables["notes"]), spark.read.parquet(tables["objectives"]),

@@ -10,6 +10,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
+_own_scratch: dict[str, str] = {}
 
 SPLIT_BYTES = 128 << 20
 
@@ -41,6 +42,11 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def cores(spark: SparkSession) -> int:
+    """Tasks the session can run at once."""
+    return spark.sparkContext.defaultParallelism
+
+
 def splits(df: DataFrame) -> int:
     """About how many input splits a table has, from its planned size."""
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
@@ -52,21 +58,20 @@ def spread(df: DataFrame, tasks: int | None = None) -> DataFrame:
 
     A table with at least as many splits as cores stays where it is.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if tasks is None and splits(df) >= cores:
+    if tasks is None and splits(df) >= cores(df.sparkSession):
         return df
-    return df.repartition(tasks or cores)
+    return df.repartition(tasks or cores(df.sparkSession))
 
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named in spark.checkpoint.dir; one of our own only where unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="tagloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
-    return root
+    if root:
+        return root
+    app = spark.sparkContext.applicationId
+    if app not in _own_scratch:
+        _own_scratch[app] = tempfile.mkdtemp(prefix="tagloom-")
+    return _own_scratch[app]
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

@@ -19,8 +19,12 @@ def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def write_once(df: DataFrame, path: str) -> DataFrame:
-    """Write a table unless its output exists, then read it."""
-    df.write.mode("ignore").parquet(path)
+    """Write a table unless its output exists, then read it.
+
+    A folder without a table in it, as a failed run leaves behind, is written anew.
+    """
+    if read_if_exists(df.sparkSession, path) is None:
+        df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

@@ -227,6 +227,7 @@ def test_run_all_in_two_goes(spark, tables):
     at_once = jobs.run_all(spark, new_folder(spark, "run"), **given)
     folder = new_folder(spark, "run")
     jobs.run_all(spark, folder, skip={"select", "tag"}, **given)
+    jobs.run_all(spark, folder, skip={"select", "tag"}, **given)  # adds nothing
     later = jobs.run_all(spark, folder, skip={"embed", "objectives"}, judge=given["judge"], note_table=note_table)
     assert rows(later) == rows(at_once)
     assert later.filter("tagged").count() > 0

@@ -96,3 +96,16 @@ def test_append_new_and_write_once(spark):
     assert rows(writers.append_new(first, path)) == [("a", 1), ("a", 2)]
     assert writers.append_new(second, path).count() == 4
     assert writers.write_once(second, path).count() == 4
+
+
+def test_scratch_folder_without_a_setting(spark, monkeypatch):
+    from tagloom import session
+
+    monkeypatch.setattr(type(spark.conf), "get", lambda self, key, default=None: default)
+    own = session.scratch_root(spark)
+    assert own == session.scratch_root(spark) and session.new_folder(spark, "x").startswith(own)
+
+
+def test_write_once_repairs_an_empty_folder(spark, tmp_path):
+    (tmp_path / "left").mkdir()
+    assert writers.write_once(spark.range(3), str(tmp_path / "left")).count() == 3
