@@ -96,15 +96,16 @@ obj as (select min(oid) as oid, tag, objective, any_value(objective_tokens) as o
 
 # Walk candidates; expects `obj`.
 PAIRS = f"""
-sims as (select oid, tag, objective, guid, card, objective_tokens, tokens,
-  list_dot_product(obj.emb, e.emb) as cosine_sim
+sims as (select oid, guid, objective_tokens, tokens, list_dot_product(obj.emb, e.emb) as cosine_sim
   from obj cross join note join note_emb e on e.id = guid),
 ranked as (select *, row_number() over (partition by oid order by cosine_sim desc, guid) as rank from sims),
 priced as (select *, {rating_fixed_tokens(KIND)} + objective_tokens + tokens as prompt_tokens
   from ranked where rank <= {K}),
 spent as (select *, coalesce(sum(prompt_tokens) over (partition by oid order by rank
   rows between unbounded preceding and 1 preceding), 0)::bigint as used_before from priced),
-pair as (select *, {RATE_USER} as ask from spent where used_before <= {fixed.MAX_TOKENS_PER_OBJECTIVE})"""
+within as (select s.*, tag, objective, card from spent s join obj using (oid) join note using (guid)
+  where used_before <= {fixed.MAX_TOKENS_PER_OBJECTIVE}),
+pair as (select *, {RATE_USER} as ask from within)"""
 
 # Replies of the hash judge; attempts count the rungs of its ladder.
 JUDGED = f"""
@@ -285,7 +286,8 @@ union all select 'objectives', any_value(len(lead)), min(len(lead)), max(len(lea
     "sim_topk_blocked": leader_topk(DOT),
     "sim_topk_cosine": leader_topk(COSINE),
     "sim_rank": with_(NOTES, OBJECTIVES, PAIRS)
-    + """select tag as name, objective as learning_objective, guid, tokens, cosine_sim, rank from priced""",
+    + """select tag as name, objective as learning_objective, guid, tokens, cosine_sim, rank
+from priced join obj using (oid)""",
     "token_budget": with_(NOTES, OBJECTIVES, PAIRS)
     + f"""select tag, objective, guid, rank, prompt_tokens, used_before from pair
 where used_before <= {fixed.MAX_TOKENS_PER_OBJECTIVE // 2}""",
