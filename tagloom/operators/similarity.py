@@ -27,6 +27,8 @@ from tagloom.session import materialise, splits
 BLOCK_BYTES = 128 << 20
 # Largest score matrix a task holds at once, in cells.
 SCORE_CELLS = 4 << 20
+# Notes a task scores before it first cuts back to the best.
+FIRST_ROWS = 512
 # Notes from more input splits than this are merged in two steps.
 MERGE_SPLITS = 256
 
@@ -80,15 +82,17 @@ def _unit(matrix: np.ndarray) -> np.ndarray:
 def _best_in_batch(scores: np.ndarray, least: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Cells of the k best columns per row that reach `least`; earlier columns win ties."""
     keep = scores >= least[:, None]
-    crowded = np.flatnonzero(keep.sum(axis=1) > k)
-    if crowded.size:
-        part = scores[crowded]
-        kth = -np.partition(-part, k - 1, axis=1)[:, k - 1, None]
-        above = part > kth
-        level = part == kth
-        room = k - above.sum(axis=1, keepdims=True)
-        keep[crowded] = above | (level & (np.cumsum(level, axis=1) <= room))
-    return np.nonzero(keep)
+    rows, columns = np.divmod(np.flatnonzero(keep), scores.shape[1])
+    crowded = np.flatnonzero(np.bincount(rows, minlength=len(scores)) > k)
+    if not crowded.size:
+        return rows, columns
+    part = scores[crowded]
+    kth = -np.partition(-part, k - 1, axis=1)[:, k - 1, None]
+    above = part > kth
+    level = part == kth
+    room = k - above.sum(axis=1, keepdims=True)
+    keep[crowded] = above | (level & (np.cumsum(level, axis=1) <= room))
+    return np.divmod(np.flatnonzero(keep), scores.shape[1])
 
 
 def _leading(obj: np.ndarray, cost: np.ndarray | None, k: int, budget: int | None) -> np.ndarray:
@@ -106,6 +110,21 @@ def _leading(obj: np.ndarray, cost: np.ndarray | None, k: int, budget: int | Non
     return keep
 
 
+def _growing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches that start small and double.
+
+    A few rows set a first bar for every objective, which spares most of the
+    rows that follow the selection.
+    """
+    size = FIRST_ROWS
+    for batch in batches:
+        start = 0
+        while start < batch.num_rows:
+            yield batch.slice(start, size)
+            start += size
+            size *= 2
+
+
 @dataclass
 class _Nearest:
     """Task-side scan: batches of notes in, the nearest notes per objective out."""
@@ -128,14 +147,12 @@ class _Nearest:
         least = np.full(len(objectives), -np.inf)
         pool: list[pa.Table] = []
         settled = 0  # rows of the pool at its last cut
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
+        for batch in _growing(batches):
             found = self._scan(batch, objectives, obj_cost, least)
             if found is None:
                 continue
             pool.append(found)
-            if sum(map(len, pool)) > 2 * settled:
+            if sum(map(len, pool)) > 1.5 * settled:
                 pool = [self._cut(pool, least)]
                 settled = len(pool[0])
         if pool:
@@ -156,13 +173,18 @@ class _Nearest:
         if self.metric == "cosine":
             vectors = _unit(vectors)
         note_cost = rows.column(self.cost).to_numpy() if self.cost else None
-        step = max(1, SCORE_CELLS // len(vectors))
+        step = min(len(objectives), max(1, SCORE_CELLS // len(vectors)))
+        cells = np.empty(step * len(vectors))
+        ordered = np.isfinite(vectors).all() and np.isfinite(objectives).all()
         found = []
         for start in range(0, len(objectives), step):
-            scores = objectives[start : start + step] @ vectors.T
+            block = objectives[start : start + step]
+            scores = cells[: len(block) * len(vectors)].reshape(len(block), -1)
+            np.matmul(block, vectors.T, out=scores)
             if self.decimals is not None:
                 np.round(scores, self.decimals, out=scores)
-            np.copyto(scores, -np.inf, where=np.isnan(scores))
+            if not ordered:  # what is no number ranks last
+                np.copyto(scores, -np.inf, where=np.isnan(scores))
             obj, note = _best_in_batch(scores, least[start : start + step], self.k)
             if not obj.size:
                 continue
