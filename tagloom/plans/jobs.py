@@ -112,10 +112,16 @@ def candidate_pairs(
     """
     if (tokenizer is None) != (min_prompt_tokens is None):
         raise ValueError("tokenizer and min_prompt_tokens go together")
-    check_dims(notes, objectives, every_row=every_row_dims)
     base = prompts.rating_fixed_tokens(params.card_kind)
     question_tokens = F.lit(base) + token_count("learning_objective")
-    objectives = with_objective_id(objectives).withColumn("pair_tokens", question_tokens)
+    # Sized, sent out and joined below; made once.
+    objectives = materialise(
+        with_objective_id(objectives)
+        .withColumn("pair_tokens", question_tokens)
+        .select("obj_id", "name", "learning_objective", "pair_tokens", "emb"),
+        "objectives",
+    )
+    check_dims(notes, objectives, every_row=every_row_dims)
     key = ["guid"] if unique_guid else ["guid", "card_id"]
     if not unique_guid:
         notes = notes.withColumn("card_id", F.xxhash64("card"))
@@ -157,7 +163,7 @@ def _texts_of(notes: DataFrame, wanted: DataFrame, key: list[str], unique: bool)
     that the other notes drop out where they are read and are never shuffled.
     """
     hashes = wanted.select(F.xxhash64(*key).alias("_hash")).distinct()
-    if hashes.count() <= BROADCAST_KEYS:
+    if wanted.count() <= BROADCAST_KEYS or hashes.count() <= BROADCAST_KEYS:
         near = notes.withColumn("_hash", F.xxhash64(*key))
         notes = near.join(F.broadcast(hashes), "_hash", "left_semi").drop("_hash")
     else:

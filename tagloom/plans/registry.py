@@ -73,8 +73,7 @@ def embedded_notes(spark, sf_dir):
 
 def embedded_objectives(spark, sf_dir):
     counted = text.with_token_count(objective_texts(spark, sf_dir), "learning_objective")
-    embedded = inference.embed(counted, "learning_objective", HashingEmbedder()).drop("emb_error")
-    return materialise(embedded, "objectives")
+    return inference.embed(counted, "learning_objective", HashingEmbedder()).drop("emb_error")
 
 
 def candidates(spark, sf_dir):
@@ -183,7 +182,7 @@ def incremental_stream(spark, sf_dir):
     """Rate objectives as they arrive, in two runs of one stream."""
     source, out, checkpoint = (new_folder(spark, n) for n in ("arrivals", "rated", "stream"))
     notes = writers.write_once(embedded_notes(spark, sf_dir), new_folder(spark, "notes"))
-    arrivals = embedded_objectives(spark, sf_dir)
+    arrivals = materialise(embedded_objectives(spark, sf_dir), "arrivals")
 
     def rate(batch):
         pairs = jobs.candidate_pairs(notes, batch, unique_guid=True)
@@ -377,7 +376,9 @@ def sim_topk_cosine(spark, sf_dir):
 def sim_rank(spark, sf_dir):
     """Every note an objective's budget could reach, in order."""
     k = walk.max_rated(SelectParams().token_budget, prompts.rating_fixed_tokens())
-    objectives = similarity.with_objective_id(embedded_objectives(spark, sf_dir))
+    objectives = materialise(
+        similarity.with_objective_id(embedded_objectives(spark, sf_dir)), "objectives"
+    )
     ranked = similarity.topk_similar(embedded_notes(spark, sf_dir), objectives, k, carry=["tokens"])
     named = ranked.join(objectives.select("obj_id", "name", "learning_objective"), "obj_id")
     return named.select("name", "learning_objective", "guid", "tokens", "cosine_sim", "rank")
