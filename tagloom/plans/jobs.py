@@ -32,9 +32,13 @@ def embed_notes(
     params: EmbedParams = EmbedParams(),
     tokenizer: Tokenizer | None = None,
 ) -> DataFrame:
-    """Notes within the token limit, with token count and vector."""
+    """Notes within the token limit, with token count and vector.
+
+    `card_id`, a hash of the card, tells notes apart later without their texts.
+    """
     spread_notes = spread(notes, params.parallelism)
     short = filter_by_tokens(spread_notes, "card", params.token_limit, tokenizer)
+    short = short.withColumn("card_id", F.xxhash64("card"))
     return inference.embed(
         short, "card", backend,
         batch_size=params.batch_size, max_tokens=params.truncate_tokens,
@@ -123,7 +127,7 @@ def candidate_pairs(
     )
     check_dims(notes, objectives, every_row=every_row_dims)
     key = ["guid"] if unique_guid else ["guid", "card_id"]
-    if not unique_guid:
+    if not unique_guid and "card_id" not in notes.columns:
         notes = notes.withColumn("card_id", F.xxhash64("card"))
     ranked = topk_similar(
         notes, objectives, walk.max_rated(params.token_budget, min_prompt_tokens or base),

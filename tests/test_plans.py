@@ -49,3 +49,14 @@ def test_scans_read_only_needed_columns(spark):
     text = plan(QUERIES["largest_source"](spark, SF_DIR))
     assert "ReadSchema: struct<source:string>" in text
     assert "partial_count" in text
+
+
+def test_ranking_reads_no_texts(spark):
+    from tagloom.operators.similarity import topk_similar, with_objective_id
+    from tagloom.plans.registry import embedded_notes, embedded_objectives
+    from tagloom.session import materialise
+
+    notes = materialise(embedded_notes(spark, SF_DIR), "notes")
+    objectives = with_objective_id(embedded_objectives(spark, SF_DIR))
+    ranked = topk_similar(notes, objectives, 5, note_key=["guid", "card_id"], carry=["tokens"])
+    assert "ReadSchema: struct<guid:string,tokens:int,card_id:bigint,emb:array<double>>" in plan(ranked)
