@@ -77,6 +77,7 @@ def make_objectives(
         fits = prompts.fits_strict("prompt_tokens", *limits)
         documents = counted.filter(fits)
         too_long = counted.filter(~fits).select("name", F.col("prompt_tokens").alias("text_tokens"))
+    too_long = too_long.select("name", "text_tokens")
     left = prompts.remaining_tokens("prompt_tokens", *limits)
     documents = documents.select("name", "prompt", left.alias("completion_tokens"))
     replies = inference.generate(

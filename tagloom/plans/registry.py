@@ -461,7 +461,7 @@ def make_objectives(spark, sf_dir):
 def make_objectives_rejected(spark, sf_dir):
     """Documents too long for one prompt, at a small chat window."""
     _, too_long = obj.split_by_length(pages_view(spark, sf_dir), SMALL_LIMIT, SMALL_BUFFER)
-    return too_long
+    return too_long.select("name", "text_tokens")
 
 
 def _judged(spark, sf_dir, **options):

@@ -167,6 +167,21 @@ def test_too_long_documents_go_aside(spark):
     assert [r["name"] for r in too_long.collect()] == ["over"]
 
 
+def test_blank_pages_do_not_pile_up(spark):
+    limit = obj.prompt_token_limit(1000, 200)
+    room = limit * obj.CHARS_PER_ALLOWED_TOKEN
+    pages = spark.createDataFrame(
+        [("fits", 1, " " * (room - 2)), ("fits", 2, "a"), ("over", 1, " " * (room - 1)), ("over", 2, "a"),
+         ("none", 1, None)],
+        "name string, page_no long, text string",
+    )
+    fitting, too_long = obj.split_by_length(pages, 1000, 200)
+    assert {r["name"] for r in fitting.collect()} == {"fits", "none"}
+    assert rows(too_long) == [("over", 1, room + 1)]
+    whole = {r["name"]: r["text"] for r in obj.assemble_text(fitting).collect()}
+    assert len(whole["fits"]) == room
+
+
 def test_best_row_per_note(spark):
     ratings = spark.createDataFrame(
         [
