@@ -120,6 +120,7 @@ def scan_notes(spark, sf_dir):
 
 
 def scan_vectors(spark, sf_dir):
+    """Vectors through CSV, a header row repeated before every one of them."""
     path = new_folder(spark, "vectors")
     rows = table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").cast("string").alias("guid"),
@@ -128,8 +129,7 @@ def scan_vectors(spark, sf_dir):
         F.concat(F.lit("["), F.array_join("embedding", ", "), F.lit("]")).alias("emb"),
     )
     header = F.struct(*[F.lit(c).alias(c) for c in rows.columns])
-    repeated = rows.select(F.inline(F.array(header, F.struct(*rows.columns))))
-    repeated.write.csv(path, header=True, quote='"', escape='"')
+    writers.export_csv(rows.select(F.inline(F.array(header, F.struct(*rows.columns)))), path)
     found = readers.scan_vectors(spark, path)
     values = F.posexplode(F.transform("emb", lambda x: x.cast("float").cast("double")))
     return found.select("guid", "card", "tokens", values.alias("pos", "value"))

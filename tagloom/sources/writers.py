@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
@@ -43,3 +43,17 @@ def append_new(
     fresh = not_done(df, existing, key).select(*df.columns)
     fresh.write.mode("append").partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def export_csv(df: DataFrame, path: str) -> None:
+    """Write a table as CSV with a header, vectors in their text form `[a, b]`."""
+    columns = [
+        F.concat(F.lit("["), F.array_join(f.name, ", "), F.lit("]")).alias(f.name)
+        if isinstance(f.dataType, T.ArrayType)
+        else F.col(f.name)
+        for f in df.schema.fields
+    ]
+    df.select(columns).write.csv(
+        path, header=True, quote='"', escape='"',
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+    )

@@ -191,6 +191,7 @@ def test_best_row_per_note(spark):
         ],
         RATING,
     )
+    assert [r["guid"] for r in assign.best_per_note(ratings, sort=True).collect()] == ["a", "b", "c"]
     best = assign.best_per_note(ratings)
     assert rows(best.select("guid", "tag", "objective", "score", "rank")) == [
         ("a", "t2", "o", 5, 2), ("b", "t1", "o1", 7, 2), ("c", "t1", "o", 2, 9),

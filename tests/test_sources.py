@@ -109,3 +109,13 @@ def test_scratch_folder_without_a_setting(spark, monkeypatch):
 def test_write_once_repairs_an_empty_folder(spark, tmp_path):
     (tmp_path / "left").mkdir()
     assert writers.write_once(spark.range(3), str(tmp_path / "left")).count() == 3
+
+
+def test_csv_round_trip(spark):
+    path = new_folder(spark, "csv")
+    table = spark.createDataFrame(
+        [("a", ' quoted "x",\nnext line ', 3, [0.1, -2.0, 1e-9]), ("b", "#y", 0, [])],
+        schemas.EMBEDDED_NOTES,
+    )
+    writers.export_csv(table, path)
+    assert rows(readers.scan_vectors(spark, path)) == rows(table)
