@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tagloom.llm import bpe
+from tagloom.llm import bpe, language_id
 
 QUERIES = {
+    "op5_language_id": language_id.op5_language_id,
     "op9_bpe": bpe.op9_bpe,
 }
 
