@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from tagloom.llm import bpe, language_id
+from tagloom.llm import bpe, language_id, quality
 
 QUERIES = {
+    "op2_quality": quality.op2_quality,
     "op5_language_id": language_id.op5_language_id,
     "op9_bpe": bpe.op9_bpe,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_quality": quality.ORACLE_SQL,
+}
