@@ -173,7 +173,7 @@ RULES: list[tuple[str, str]] = [
     ("short_words", "word_chars < 3 * n_words"),
     ("long_words", "word_chars > 15 * n_words"),
     ("symbols", "5 * n_symbols > n_words"),
-    ("repeated_lines", "100 * n_dup_lines > 30 * n_lines"),
+    ("repeated_lines", "n_dup_lines > 3 AND 100 * n_dup_lines > 30 * n_lines"),
     ("upper_case", "10 * n_upper > 3 * (n_upper + n_lower)"),
     ("without_letters", "10 * n_letter_words < 6 * n_words"),
     ("somewhat_repeated", "100 * n_repeat_words > 30 * n_words"),
