@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from tagloom.llm import bpe, language_id, quality
+from tagloom.llm import bpe, decontaminate, language_id, quality
 
 QUERIES = {
+    "op7_decontaminate": decontaminate.op7_decontaminate,
     "op2_quality": quality.op2_quality,
     "op5_language_id": language_id.op5_language_id,
     "op9_bpe": bpe.op9_bpe,
 }
 
 ORACLE: dict[str, str] = {
+    "op7_decontaminate": decontaminate.ORACLE_SQL,
     "op2_quality": quality.ORACLE_SQL,
 }
