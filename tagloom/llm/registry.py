@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tagloom.llm import bpe, decontaminate, language_id, quality, sharding
+from tagloom.llm import bpe, decontaminate, language_id, pii, quality, sharding
 
 QUERIES = {
+    "op8_pii": pii.op8_pii,
     "op6_sharding": sharding.op6_sharding,
     "op7_decontaminate": decontaminate.op7_decontaminate,
     "op2_quality": quality.op2_quality,
