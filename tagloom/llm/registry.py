@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tagloom.llm import bpe, decontaminate, language_id, pii, quality, sharding
+from tagloom.llm import bpe, decontaminate, jaccard_join, language_id, pii, quality, sharding
 
 QUERIES = {
+    "op1_jaccard_join": jaccard_join.op1_jaccard_join,
     "op8_pii": pii.op8_pii,
     "op6_sharding": sharding.op6_sharding,
     "op7_decontaminate": decontaminate.op7_decontaminate,
@@ -14,6 +15,7 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_jaccard_join": jaccard_join.ORACLE_SQL,
     "op7_decontaminate": decontaminate.ORACLE_SQL,
     "op2_quality": quality.ORACLE_SQL,
 }
