@@ -66,8 +66,7 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     base = 0xD6E8FEB86659FD93
     inverse = pow(base, -1, 1 << 64)
     return tuple(
-        np.multiply.accumulate(np.concatenate([[1], np.full(size, b, np.uint64)]).astype(np.uint64))
-        for b in (base, inverse)
+        np.multiply.accumulate(np.array([1] + [b] * size, np.uint64)) for b in (base, inverse)
     )
 
 
@@ -120,10 +119,12 @@ def runs_for(recall: float) -> int:
 
 def sketch(tokens: np.ndarray) -> np.ndarray:
     """One bit of each of 256 minimum hashes, packed into four numbers."""
-    bits = np.empty(SKETCH, np.uint8)
-    for i, seed in enumerate(seeds(11, SKETCH)):
-        bits[i] = ((tokens * (seed | np.uint64(1))) ^ (tokens >> np.uint64(29))).min() >> np.uint64(17) & np.uint64(1)
-    return np.packbits(bits).view(np.uint64)
+    factors = (seeds(11, SKETCH) >> np.uint64(32)).astype(np.uint32)[:, None] | np.uint32(1)
+    short = (tokens >> np.uint64(32)).astype(np.uint32)
+    least = np.full(SKETCH, 2**32 - 1, np.uint32)
+    for at in range(0, len(short), 1 << 14):
+        np.minimum(least, (short[None, at : at + (1 << 14)] * factors).min(1), out=least)
+    return np.packbits((mix(least.astype(np.uint64)) & np.uint64(1)).astype(np.uint8)).view(np.uint64)
 
 
 def _long(x: np.ndarray) -> pa.Array:
