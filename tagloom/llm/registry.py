@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tagloom.llm import bpe, decontaminate, jaccard_join, language_id, pii, quality, sharding
+from tagloom.llm import bpe, decontaminate, jaccard_join, language_id, pii, quality, sharding, toxicity
 
 QUERIES = {
+    "op4_toxicity": toxicity.op4_toxicity,
     "op1_jaccard_join": jaccard_join.op1_jaccard_join,
     "op8_pii": pii.op8_pii,
     "op6_sharding": sharding.op6_sharding,
