@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tagloom.llm import bpe, decontaminate, jaccard_join, language_id, pii, quality, sharding, toxicity
+from tagloom.llm import bpe, decontaminate, jaccard_join, language_id, pii, quality, sharding, token_output, toxicity
 
 QUERIES = {
+    "op3_token_output": token_output.op3_token_output,
     "op4_toxicity": toxicity.op4_toxicity,
     "op1_jaccard_join": jaccard_join.op1_jaccard_join,
     "op8_pii": pii.op8_pii,
