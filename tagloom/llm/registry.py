@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tagloom.llm import bpe, decontaminate, jaccard_join, language_id, pii, quality, sharding, token_output, toxicity
+from tagloom.llm import bpe, chat, decontaminate, jaccard_join, language_id, pii, quality, sharding, token_output, toxicity
 
 QUERIES = {
+    "op10_tool_calls": chat.op10_tool_calls,
     "op3_token_output": token_output.op3_token_output,
     "op4_toxicity": toxicity.op4_toxicity,
     "op1_jaccard_join": jaccard_join.op1_jaccard_join,
@@ -17,6 +18,7 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op10_tool_calls": chat.ORACLE_SQL,
     "op1_jaccard_join": jaccard_join.ORACLE_SQL,
     "op7_decontaminate": decontaminate.ORACLE_SQL,
     "op2_quality": quality.ORACLE_SQL,
