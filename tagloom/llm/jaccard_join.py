@@ -127,36 +127,40 @@ def sketch(tokens: np.ndarray) -> np.ndarray:
     return np.packbits((mix(least.astype(np.uint64)) & np.uint64(1)).astype(np.uint8)).view(np.uint64)
 
 
-def _long(x: np.ndarray) -> pa.Array:
-    return pa.array(x.view(np.int64))
+def _node(tokens: np.ndarray) -> int:
+    """A hash of a whole set."""
+    total = mix(tokens ^ seeds(3, 1)[0]).sum(keepdims=True) + np.uint64(len(tokens))
+    return int(mix(total).view(np.int64)[0])
 
 
 def choose(docs: DataFrame, similarity: float, runs: int) -> DataFrame:
-    """doc_id, n, node (hash of the set), paths (of the first level)."""
+    """doc_id, n, node (hash of the set), paths (of the first level), sketch."""
 
     def run(batches):
         own = seeds(3, runs)
         for batch in batches:
-            n, node, paths = [], [], []
+            n, node, paths, bits = [], [], [], []
             for text in batch.column(1):
                 tokens = shingles(text.as_py())
                 cut = _cut(len(tokens), similarity)
                 n.append(len(tokens))
-                node.append(int(mix(mix(tokens ^ own[0]).sum(keepdims=True) + np.uint64(len(tokens)))[0]))
+                node.append(_node(tokens))
+                bits.append(sketch(tokens).view(np.int64))
                 hashed = mix(tokens[None, :] ^ own[:, None])
                 paths.append(mix(hashed[hashed < cut] + ODD).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     pa.array(n, pa.int64()),
-                    _long(np.array(node, np.uint64)),
+                    pa.array(node, pa.int64()),
                     pa.array(paths, pa.list_(pa.int64())),
+                    pa.array(bits, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n", "node", "paths"],
+                ["doc_id", "n", "node", "paths", "sketch"],
             )
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n long, node long, paths array<long>"
+        run, "doc_id long, n long, node long, paths array<long>, sketch array<long>"
     )
 
 
@@ -164,27 +168,23 @@ def _small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
-def token_sets(docs: DataFrame, wanted: DataFrame, n_wanted: int) -> DataFrame:
-    """node, n, sketch, tokens of the nodes in `wanted` (node, doc_id: one document that has it)."""
+def with_tokens(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of `wanted` (doc_id, node and others) with `tokens`, the set of that document."""
+    names = [c for c in wanted.columns if c != "doc_id"]
+    at = names.index("node")
 
     def run(batches):
         for batch in batches:
-            rows = []
-            for node, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                tokens = shingles(text.as_py())
-                own = int(mix(mix(tokens ^ seeds(3, 1)[0]).sum(keepdims=True) + np.uint64(len(tokens)))[0])
-                if np.uint64(own).view(np.int64) == node:
-                    rows.append((node, len(tokens), sketch(tokens).view(np.int64), tokens.tobytes()))
-            columns = list(zip(*rows)) or [[], [], [], []]
-            kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(c), kind) for c, kind in zip(columns, kinds)],
-                ["node", "n", "sketch", "tokens"],
-            )
+            sets = [shingles(text.as_py()) for text in batch.column(len(names))]
+            own = pa.array([_node(t) == node for t, node in zip(sets, batch.column(at).to_pylist())], pa.bool_())
+            columns = [*batch.columns[:-1], pa.array([t.tobytes() for t in sets], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, [*names, "tokens"]).filter(own)
+
+    from pyspark.sql.types import BinaryType, StructField, StructType
 
-    texts = docs.join(_small(wanted, n_wanted), "doc_id").select("node", "text")
-    found = texts.mapInArrow(run, "node long, n long, sketch array<long>, tokens binary")
-    return materialise(found, "sets")
+    joined = docs.join(_small(wanted, wanted.count()), "doc_id").select(*names, "text")
+    fields = [*wanted.select(*names).schema.fields, StructField("tokens", BinaryType())]
+    return joined.mapInArrow(run, StructType(fields))
 
 
 def split(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -208,7 +208,7 @@ def split(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
                 )
 
     per_node = members.groupBy("node").agg(F.collect_set("path").alias("paths"))
-    joined = per_node.join(sets.select("node", "tokens"), "node").select("node", "paths", "tokens")
+    joined = per_node.join(sets, "node").select("node", "paths", "tokens")
     return joined.mapInArrow(run, "path long, node long")
 
 
@@ -249,7 +249,7 @@ def _forest(size: int, like) -> Iterator[tuple[int, int]]:
             rest = rest[~near]
 
 
-def brute_force(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+def brute_force(members: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
     """a, b: a spanning forest of the sets that look similar, for each bucket (path, part)."""
 
     def like_in(n, bits):
@@ -274,7 +274,7 @@ def brute_force(members: DataFrame, sets: DataFrame, similarity: float) -> DataF
                 a, b = [], []
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    narrow = sets.select("node", "n", *[F.col("sketch")[i].alias(f"s{i}") for i in range(4)])
+    narrow = nodes.select("node", "n", *[F.col("sketch")[i].alias(f"s{i}") for i in range(4)])
     rows = members.join(narrow, "node").select("path", "part", "node", "n", "s0", "s1", "s2", "s3")
     return (
         rows.repartition("path", "part")
@@ -333,10 +333,11 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def exact_links(clusters: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+def exact_links(docs: DataFrame, clusters: DataFrame, similarity: float) -> DataFrame:
     """node, links, other: weights of linked nodes, and edges of a spanning forest of links.
 
-    `clusters` has node, label, size (sets in the cluster) and w (documents of the node).
+    `clusters` has doc_id (one document of the node), node, n, label, size (sets in the cluster)
+    and w (documents of the node).
     """
     ratio = Fraction(str(similarity))
     up, down = ratio.numerator, ratio.numerator + ratio.denominator
@@ -383,9 +384,14 @@ def exact_links(clusters: DataFrame, sets: DataFrame, similarity: float) -> Data
             [pa.array([r[i] for r in out], pa.int64()) for i in range(3)], ["node", "links", "other"]
         )
 
-    rows = _pair_parts(clusters, "size", "label", BLOCK).join(sets.select("node", "n", "tokens"), "node")
+    dealt = _pair_parts(clusters, "size", "label", BLOCK)
+    part = F.collect_list(F.struct("part", "own")).alias("parts")
+    wanted = dealt.groupBy("doc_id", "node", "n", "label", "w").agg(part)
+    rows = with_tokens(docs, materialise(wanted, "wanted"))
     return (
-        rows.select("label", "part", "own", "node", "n", "w", "tokens")
+        rows.withColumn("p", F.explode("parts"))
+        .select("*", "p.*")
+        .select("label", "part", "own", "node", "n", "w", "tokens")
         .repartition("label", "part")
         .sortWithinPartitions("label", "part", "node")
         .mapInArrow(run, "node long, links long, other long")
@@ -399,7 +405,10 @@ def join(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL
     nodes = materialise(
         each.filter("n > 0")
         .groupBy("node")
-        .agg(F.count("*").alias("w"), F.min("doc_id").alias("low"), F.first("paths").alias("paths")),
+        .agg(
+            F.count("*").alias("w"), F.min("doc_id").alias("low"),
+            *[F.first(c).alias(c) for c in ("n", "paths", "sketch")],
+        ),
         "nodes",
     )
     members = nodes.select(F.explode("paths").alias("path"), "node")
@@ -407,25 +416,23 @@ def join(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL
     for level in range(LEVELS):
         counts = members.groupBy("path").agg(F.count("*").alias("size")).filter("size > 1")
         members = materialise(members.join(counts, "path"), "members")
-        if sets is None:
-            wanted = materialise(
-                members.select("node").distinct().join(nodes, "node").select("node", F.col("low").alias("doc_id")),
-                "wanted",
-            )
-            sets = token_sets(docs, wanted, wanted.count())
         last = level == LEVELS - 1
-        small = members if last else members.filter(F.col("size") <= LIMIT)
-        buckets.append(small)
+        buckets.append(members if last else members.filter(F.col("size") <= LIMIT))
         large = members.filter(F.col("size") > LIMIT)
         if last or large.isEmpty():
             break
+        if sets is None:
+            wanted = large.select("node").distinct().join(nodes, "node")
+            wanted = materialise(wanted.select(F.col("low").alias("doc_id"), "node"), "wanted")
+            sets = materialise(with_tokens(docs, wanted), "sets")
         members = materialise(split(large, sets, similarity), "split")
     bucketed = _pair_parts(reduce(DataFrame.unionByName, buckets), "size", "path", LIMIT)
-    near = materialise(brute_force(bucketed, sets, similarity), "near")
+    near = materialise(brute_force(bucketed, nodes, similarity), "near")
     label = components(near)
     sizes = label.groupBy("label").agg(F.count("*").alias("size"))
-    clusters = label.join(sizes, "label").join(nodes.select("node", "w"), "node")
-    links = materialise(exact_links(clusters, sets, similarity), "links")
+    own = nodes.select("node", "w", "n", F.col("low").alias("doc_id"))
+    clusters = label.join(sizes, "label").join(own, "node")
+    links = materialise(exact_links(docs, clusters, similarity), "links")
     classes = components(links.filter("other IS NOT NULL").select(F.col("node").alias("a"), F.col("other").alias("b")))
     n_links = links.groupBy("node").agg(F.sum("links").alias("links"))
     known = nodes.select("node", "w", "low").join(classes, "node", "left").join(n_links, "node", "left")
