@@ -28,8 +28,8 @@ PIECES = (
 UNSAFE_SPACE = regex.compile(r"\p{White_Space} (?:\p{White_Space}|\Z)")
 
 #: Entries that each generation of a worker's tables holds.
-CACHED_PIECES = 300_000
-CACHED_WORDS = 200_000
+CACHED_PIECES = 200_000
+CACHED_WORDS = 100_000
 #: Longer pieces are merged each time.
 CACHED_LENGTH = 40
 ID_BITS = 20

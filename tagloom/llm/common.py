@@ -25,6 +25,13 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def few_rows(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that a task holds few whole texts as Python values."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def by_document(
     docs: DataFrame, row: Callable[[], Callable[[str | None], tuple]], schema: str, keep: str = "doc_id"
 ) -> DataFrame:
@@ -41,7 +48,7 @@ def by_document(
 
         types = [to_arrow_type(f.dataType) for f in out.fields]
         one = row()
-        for batch in batches:
+        for batch in few_rows(batches):
             texts = batch.column(batch.schema.get_field_index("text"))
             found = [one(text.as_py()) for text in texts]
             columns = [

@@ -28,13 +28,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import id_text, table
+from tagloom.llm.common import few_rows, id_text, table
 from tagloom.session import materialise
 
 WINDOW = 10
 #: UTF-8 bytes of benchmark text in a block, and words in a shard of a task.
 BLOCK_BYTES = 16 << 20
-SHARD_WORDS = 1_500_000
+SHARD_WORDS = 600_000
 #: Bytes of one text that are cut into words at a time.
 SLICE = 4 << 20
 #: Words that suffixes are sorted by.
@@ -339,7 +339,7 @@ def _drop(docs: DataFrame, where: int, block: Block) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(block)
 
     def run(batches):
-        for batch in batches:
+        for batch in few_rows(batches, 1024):
             keep = []
             numbered = pa.RecordBatch.from_arrays(
                 [pa.array(range(batch.num_rows)), batch.column(where)], ["row", "text"]

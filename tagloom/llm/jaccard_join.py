@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import id_text, table
+from tagloom.llm.common import few_rows, id_text, table
 from tagloom.session import materialise
 
 WORDS = 5
@@ -45,7 +45,7 @@ AGREE = 196
 #: Node ids that may be broadcast, 16 bytes each.
 BROADCAST_ROWS = 500_000
 #: Bytes of text that are hashed at a time.
-PART = 1 << 21
+PART = 1 << 17
 
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -138,7 +138,7 @@ def choose(docs: DataFrame, similarity: float, runs: int) -> DataFrame:
 
     def run(batches):
         own = seeds(3, runs)
-        for batch in batches:
+        for batch in few_rows(batches):
             n, node, paths, bits = [], [], [], []
             for text in batch.column(1):
                 tokens = shingles(text.as_py())
@@ -174,7 +174,7 @@ def with_tokens(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     at = names.index("node")
 
     def run(batches):
-        for batch in batches:
+        for batch in few_rows(batches):
             sets = [shingles(text.as_py()) for text in batch.column(len(names))]
             own = pa.array([_node(t) == node for t, node in zip(sets, batch.column(at).to_pylist())], pa.bool_())
             columns = [*batch.columns[:-1], pa.array([t.tobytes() for t in sets], pa.binary())]
@@ -191,7 +191,7 @@ def split(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """path, node one level deeper, for the members (path, node) of large buckets."""
 
     def run(batches):
-        for batch in batches:
+        for batch in few_rows(batches):
             paths_out, nodes_out = [], []
             for node, paths, raw in zip(*(c.to_pylist() for c in batch.columns)):
                 tokens = np.frombuffer(raw, np.uint64)
