@@ -18,6 +18,9 @@ from pyspark.sql import DataFrame, types as T
 from tagloom import fixed, schemas
 from tagloom.params import Chat, Embedder
 
+# Single calls that may fail one after another before a service counts as down.
+FAILURES_IN_A_ROW = 3
+
 
 def _truncate(text: str, max_tokens: int | None) -> str:
     """Row form of functions.text.truncate_text, for the retry inside a task."""
@@ -51,18 +54,28 @@ def _with_retry(call, attempts: int, wait: float, growth: float):
 
 
 def _batched(items: list, call, batch_size: int, attempts: int, wait: float, growth: float, single):
-    """Call per chunk; when a chunk keeps failing, call for each of its items alone."""
+    """Call per chunk, again after a wait while it fails; then once for each of its items alone.
+
+    A service that is down or limits its rate fails item after item too; after
+    three such failures in a row the rest of the chunk gets the same error.
+    """
     results, errors = [], []
     for start in range(0, len(items), batch_size):
         chunk = items[start : start + batch_size]
-        tries = attempts if len(chunk) == 1 else 1
-        got, error = _with_retry(lambda: _checked(call(chunk), chunk), tries, wait, growth)
+        got, error = _with_retry(lambda: _checked(call(chunk), chunk), attempts, wait, growth)
         if error is None:
             results += got
             errors += [None] * len(chunk)
             continue
+        failed = 0
         for item in chunk:
-            got, error = _with_retry(lambda: single(item), attempts, wait, growth)
+            if failed < FAILURES_IN_A_ROW:
+                got, error = _with_retry(lambda: single(item), 1, wait, growth)
+                failed = failed + 1 if error else 0
+                if error and failed < FAILURES_IN_A_ROW:
+                    time.sleep(wait)
+            else:
+                got = None
             results.append(got)
             errors.append(error)
     return results, errors

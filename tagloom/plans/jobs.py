@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Collection
 from functools import partial
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -14,10 +15,10 @@ from tagloom.functions.scores import normalise_reply, parse_score
 from tagloom.functions.text import token_count, with_token_count
 from tagloom.functions.text import token_filter as filter_by_tokens
 from tagloom.operators import inference, objectives as obj, walk
-from tagloom.operators.assign import tag_notes
+from tagloom.operators.assign import overlap_report, tag_notes, tag_report
 from tagloom.operators.similarity import check_dims, topk_similar, with_objective_id
 from tagloom.params import Chat, ChatParams, Embedder, EmbedParams, Params, SelectParams, Tokenizer
-from tagloom.session import cores, materialise, spread
+from tagloom.session import materialise, spread, tasks_for
 from tagloom.sources import writers
 
 # Most key hashes that are broadcast; each takes some 16 bytes on an executor.
@@ -36,9 +37,8 @@ def embed_notes(
 
     `card_id`, a hash of the card, tells notes apart later without their texts.
     """
-    spread_notes = spread(notes, params.parallelism)
-    short = filter_by_tokens(spread_notes, "card", params.token_limit, tokenizer)
-    short = short.withColumn("card_id", F.xxhash64("card"))
+    short = filter_by_tokens(notes, "card", params.token_limit, tokenizer)
+    short = spread(short.withColumn("card_id", F.xxhash64("card")), params.parallelism)
     return inference.embed(
         short, "card", backend,
         batch_size=params.batch_size, max_tokens=params.truncate_tokens,
@@ -46,6 +46,15 @@ def embed_notes(
     )
 
 
+class Objectives(NamedTuple):
+    """What `make_objectives` gives: rows, and the names of documents by what became of them."""
+
+    made: DataFrame
+    too_long: DataFrame  # name, text_tokens
+    failed: DataFrame  # name, error
+    asked: DataFrame  # name
+
+
 def make_objectives(
     pages: DataFrame,
     chat: Chat,
@@ -54,9 +63,11 @@ def make_objectives(
     embed_on: str = "raw",
     drop_empty: bool = False,
     tokenizer: Tokenizer | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """Embedded objectives of every document, and the documents that are too long.
+) -> Objectives:
+    """Embedded objectives of every document, and the documents without: too long or failed.
 
+    A document fails when its reply or the vector of one of its objectives could
+    not be had; none of its objectives is given out, so that a rerun makes all.
     Token counts and vectors come from the line as generated unless `embed_on`
     is "clean". Replies are materialised, so the chat model runs once. With a
     `tokenizer` a document is measured after it was assembled; without one, the
@@ -81,10 +92,11 @@ def make_objectives(
     left = prompts.remaining_tokens("prompt_tokens", *limits)
     documents = documents.select("name", "prompt", left.alias("completion_tokens"))
     replies = inference.generate(
-        documents.repartition(params.chat.parallelism or cores(pages.sparkSession)), "prompt", chat, max_tokens="completion_tokens",
+        documents.repartition(params.chat.parallelism or tasks_for(pages)), "prompt", chat, max_tokens="completion_tokens",
         batch_size=params.chat.batch_size, attempts=params.chat.attempts, wait=params.chat.wait,
-    ).select("name", "reply")
-    replies = spread(materialise(replies, "replies"), params.embed.parallelism)
+    ).select("name", "reply", "reply_error")
+    asked = materialise(replies, "replies")
+    replies = spread(asked.filter("reply_error IS NULL").select("name", "reply"), params.embed.parallelism)
     text = "line" if embed_on == "raw" else "learning_objective"
     lines = obj.objective_lines(replies, drop_empty=drop_empty)
     embedded = inference.embed(
@@ -92,7 +104,12 @@ def make_objectives(
         batch_size=params.embed.batch_size, max_tokens=params.embed.truncate_tokens,
         attempts=params.embed.attempts, wait=params.embed.wait,
     )
-    return embedded.select(*schemas.OBJECTIVES.names), too_long
+    embedded = materialise(embedded.select(*schemas.OBJECTIVES.names, "emb_error"), "embedded")
+    no_vector = embedded.groupBy("name").agg(F.min("emb_error").alias("error")).filter("error IS NOT NULL")
+    no_reply = asked.filter("reply_error IS NOT NULL").select("name", F.col("reply_error").alias("error"))
+    failed = no_reply.unionByName(no_vector)
+    made = embedded.drop("emb_error").join(no_vector.select("name"), "name", "left_anti")
+    return Objectives(made.select(*schemas.OBJECTIVES.names), too_long, failed, asked.select("name"))
 
 
 def candidate_pairs(
@@ -126,6 +143,10 @@ def candidate_pairs(
         .select("obj_id", "name", "learning_objective", "pair_tokens", "emb"),
         "objectives",
     )
+    # Without a guid a note can get no tag; it should not spend budget either.
+    notes = notes.filter("guid IS NOT NULL")
+    if "InArrow" in notes._jdf.queryExecution().analyzed().toString():
+        notes = materialise(notes, "notes")  # read twice below; a model runs once
     check_dims(notes, objectives, every_row=every_row_dims)
     key = ["guid"] if unique_guid else ["guid", "card_id"]
     if not unique_guid and "card_id" not in notes.columns:
@@ -203,7 +224,7 @@ def rate_and_cut(
     "eager" rates every pair within the budget at once and cuts afterwards;
     "lazy" walks objective by objective and rates nothing in vain.
     """
-    tasks = chat.parallelism or cores(pairs.sparkSession)
+    tasks = chat.parallelism or tasks_for(pairs)
     if params.mode == "lazy":
         kept = pairs.schema.fields
         schema = T.StructType(
@@ -212,10 +233,12 @@ def rate_and_cut(
         rate = partial(
             inference.rate_frame, prompt="prompt", judge=judge, max_tokens="completion_tokens"
         )
+        # Prompts repeat the card, so they are made where the pairs ended up.
+        asked = with_prompts(pairs.repartition(tasks, "obj_id"), params, chat)
         walked = walk.walk_lazy(
-            with_prompts(pairs, params, chat), ["obj_id"], "rank", params.token_budget, params.max_poor_run, rate, schema,
-            parallelism=tasks,
+            asked, ["obj_id"], "rank", params.token_budget, params.max_poor_run, rate, schema
         )
+        walked = materialise(walked.drop("prompt", "completion_tokens"), "replies")
         rated = walked.withColumn("gpt_reply", normalise_reply("gpt_reply"))
     elif params.mode == "eager":
         # Prompts repeat the card, so they are made where the pairs ended up.
@@ -252,15 +275,66 @@ def select_new(
     """Rate the objectives the table at `path` does not hold yet and append them.
 
     An objective's rows and its key are one append, so it is either done or not.
+    One of whose ratings failed stays open: a run after an outage rates it anew.
+    Its failed rows go to `path`-failed.
     """
     keyed = with_objective_id(objectives)
     done = writers.read_if_exists(notes.sparkSession, path)
     todo = writers.not_done(keyed, done, ["obj_id"])
-    rated = select_pairs(notes, todo.drop("obj_id"), judge, **options)
-    rated.write.mode("append").parquet(path)
+    rated = materialise(select_pairs(notes, todo.drop("obj_id"), judge, **options), "rated")
+    failures = rated.filter("rate_error IS NOT NULL")
+    open_ = failures.select("obj_id").distinct()
+    rated.join(open_, "obj_id", "left_anti").select(*rated.columns).write.mode("append").parquet(path)
+    _append_failures(failures, f"{path.rstrip('/')}-failed")
     return notes.sparkSession.read.parquet(path)
 
 
+def _append_failures(failures: DataFrame, path: str) -> None:
+    if not failures.isEmpty():
+        failures.write.mode("append").parquet(path)
+
+
+def embed_new(
+    notes: DataFrame, backend: Embedder, path: str, params: EmbedParams = EmbedParams()
+) -> DataFrame:
+    """Embed the notes the table at `path` does not hold yet and append them.
+
+    Notes whose vector could not be had go to `path`-failed and stay open.
+    """
+    done = writers.read_if_exists(notes.sparkSession, path)
+    key = ["guid", "card_id"]
+    todo = writers.not_done(notes.withColumn("card_id", F.xxhash64("card")), done, key)
+    made = materialise(embed_notes(todo.drop("card_id"), backend, params), "notes")
+    made.filter("emb_error IS NULL").write.mode("append").parquet(path)
+    _append_failures(made.filter("emb_error IS NOT NULL"), f"{path.rstrip('/')}-failed")
+    return notes.sparkSession.read.parquet(path)
+
+
+def objectives_new(
+    pages: DataFrame, chat: Chat, embedder: Embedder, path: str, params: Params = Params(), **options
+) -> DataFrame:
+    """Make the objectives of documents that are not done yet and append them.
+
+    `path`-documents names every document that needs no further call: done
+    (also without a single objective) or too long. Failed ones go to
+    `path`-failed and stay open. A document's rows come before its name, and
+    rows without a name are found again by it, so nothing is made twice.
+    """
+    spark, base = pages.sparkSession, path.rstrip("/")
+    named = writers.read_if_exists(spark, f"{base}-documents")
+    fresh = writers.not_done(pages, named, ["name"])
+    fresh = writers.not_done(fresh, writers.read_if_exists(spark, path), ["name"])
+    found = make_objectives(fresh, chat, embedder, params, **options)
+    found.made.write.mode("append").parquet(path)
+    done = found.asked.join(found.failed.select("name"), "name", "left_anti")
+    names = done.withColumn("status", F.lit("done")).unionByName(
+        found.too_long.select("name", F.lit("too long").alias("status"))
+    )
+    names.write.mode("append").parquet(f"{base}-documents")
+    _append_failures(found.failed, f"{base}-failed")
+    return spark.read.parquet(path)
+
+
 def run_all(
     spark: SparkSession,
     folder: str,
@@ -276,7 +350,10 @@ def run_all(
 ) -> DataFrame | None:
     """Embed, make objectives, select, tag; stages meet in Parquet tables below `folder`.
 
-    Every run writes a new version of the tagged note table.
+    Every run writes a new version of the tagged note table, and beside it the
+    reports `overlap` and `tagged`. What a model failed on stays open for the
+    next run and is told in the tables ending in -failed; documents too long for
+    a prompt are named in `objectives-documents`.
 
     A stage named in `skip` is left out and its output has to be there already.
     Inputs are checked before any stage starts. Returns the tagged note table,
@@ -289,13 +366,9 @@ def run_all(
     _require(spark, skip, tables, notes=notes, pages=pages, note_table=note_table)
 
     if "embed" not in skip:
-        writers.write_once(embed_notes(notes, embedder, params.embed), tables["notes"])
+        embed_new(notes, embedder, tables["notes"], params.embed)
     if "objectives" not in skip:
-        # Documents that are done cost no further model call.
-        done = writers.read_if_exists(spark, tables["objectives"])
-        fresh = writers.not_done(pages, done, ["name"])
-        made, _ = make_objectives(fresh, chat, embedder, params)
-        made.write.mode("append").parquet(tables["objectives"])
+        objectives_new(pages, chat, embedder, tables["objectives"], params)
     if "select" not in skip:
         select_new(
             spark.read.parquet(tables["notes"]), spark.read.parquet(tables["objectives"]),
@@ -306,6 +379,12 @@ def run_all(
     tagged = tag_notes(note_table, spark.read.parquet(tables["ratings"]), params.tag)
     version = f"{tables['tagged']}/{uuid.uuid4().hex}"
     tagged.write.parquet(version)
+    ratings = spark.read.parquet(tables["ratings"])
+    for name, report in (
+        ("overlap", overlap_report(ratings, note_table)),
+        ("tagged", tag_report(spark.read.parquet(version))),
+    ):
+        report.write.mode("overwrite").parquet(f"{folder.rstrip('/')}/reports/{name}")
     return spark.read.parquet(version)
 
 

@@ -454,14 +454,15 @@ def embed_notes_job(spark, sf_dir):
 
 
 def make_objectives(spark, sf_dir):
-    made, _ = jobs.make_objectives(pages_view(spark, sf_dir), EchoGenerator(), HashingEmbedder())
-    return made.select("name", "learning_objective", "tokens", fingerprint().alias("emb"))
+    found = jobs.make_objectives(pages_view(spark, sf_dir), EchoGenerator(), HashingEmbedder())
+    return found.made.select("name", "learning_objective", "tokens", fingerprint().alias("emb"))
 
 
 def make_objectives_rejected(spark, sf_dir):
     """Documents too long for one prompt, at a small chat window."""
-    _, too_long = obj.split_by_length(pages_view(spark, sf_dir), SMALL_LIMIT, SMALL_BUFFER)
-    return too_long.select("name", "text_tokens")
+    params = Params(chat=ChatParams(max_tokens=SMALL_LIMIT, buffer=SMALL_BUFFER))
+    found = jobs.make_objectives(pages_view(spark, sf_dir), EchoGenerator(), HashingEmbedder(), params)
+    return found.too_long.select("name", "text_tokens")
 
 
 def _judged(spark, sf_dir, **options):

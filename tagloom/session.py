@@ -13,6 +13,7 @@ _shipped: set[str] = set()
 _own_scratch: dict[str, str] = {}
 
 SPLIT_BYTES = 128 << 20
+UNKNOWN_BYTES = 1 << 58  # Spark's stand-in for what it cannot size is larger
 
 
 def build_session(app: str = "tagloom", **conf: str) -> SparkSession:
@@ -48,9 +49,13 @@ def cores(spark: SparkSession) -> int:
 
 
 def splits(df: DataFrame) -> int:
-    """About how many input splits a table has, from its planned size."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(size) // SPLIT_BYTES + 1
+    """About how many input splits the tables have that a frame reads, from their sizes.
+
+    Sizes of joins are products and say nothing; a leaf of unknown size counts as small.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
+    return sum(size for size in sizes if size < UNKNOWN_BYTES) // SPLIT_BYTES + 1
 
 
 def spread(df: DataFrame, tasks: int | None = None) -> DataFrame:
@@ -60,7 +65,12 @@ def spread(df: DataFrame, tasks: int | None = None) -> DataFrame:
     """
     if tasks is None and splits(df) >= cores(df.sparkSession):
         return df
-    return df.repartition(tasks or cores(df.sparkSession))
+    return df.repartition(tasks or tasks_for(df))
+
+
+def tasks_for(df: DataFrame) -> int:
+    """As many tasks as there are cores, and more where the data needs more splits."""
+    return max(cores(df.sparkSession), splits(df))
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -68,6 +78,9 @@ def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_scratch:
         _own_scratch[app] = tempfile.mkdtemp(prefix="tagloom-")

@@ -18,12 +18,19 @@ def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a write to this folder was committed as a whole."""
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
+    return mark.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(mark)
+
+
 def write_once(df: DataFrame, path: str) -> DataFrame:
-    """Write a table unless its output exists, then read it.
+    """Write a table unless its output exists as a whole, then read it.
 
-    A folder without a table in it, as a failed run leaves behind, is written anew.
+    A folder without the mark of a committed write, as a failed run leaves
+    behind with some or none of its files, is written anew.
     """
-    if read_if_exists(df.sparkSession, path) is None:
+    if not is_complete(df.sparkSession, path):
         df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 

@@ -152,7 +152,7 @@ def test_too_long_documents_go_aside(spark):
     )
     params = Params(chat=ChatParams(max_tokens=1000, buffer=200))
     for tokenizer in (None, lambda texts: [len(t.split()) for t in texts]):
-        made, too_long = jobs.make_objectives(
+        made, too_long, _, _ = jobs.make_objectives(
             pages, EchoGenerator(), HashingEmbedder(), params, tokenizer=tokenizer
         )
         assert [r["name"] for r in too_long.collect()] == ["long"]
@@ -167,19 +167,69 @@ def test_too_long_documents_go_aside(spark):
     assert [r["name"] for r in too_long.collect()] == ["over"]
 
 
-def test_blank_pages_do_not_pile_up(spark):
+def test_few_tokens_in_many_characters_are_kept(spark):
+    """Only tokens count: blank pages and endless words do not make a document too long."""
     limit = obj.prompt_token_limit(1000, 200)
-    room = limit * obj.CHARS_PER_ALLOWED_TOKEN
     pages = spark.createDataFrame(
-        [("fits", 1, " " * (room - 2)), ("fits", 2, "a"), ("over", 1, " " * (room - 1)), ("over", 2, "a"),
-         ("none", 1, None)],
+        [("blank", 1, " " * (limit * 200)), ("blank", 2, "a"), ("none", 1, None)],
         "name string, page_no long, text string",
     )
     fitting, too_long = obj.split_by_length(pages, 1000, 200)
-    assert {r["name"] for r in fitting.collect()} == {"fits", "none"}
-    assert rows(too_long) == [("over", 1, room + 1)]
+    assert {r["name"] for r in fitting.collect()} == {"blank", "none"} and too_long.count() == 0
     whole = {r["name"]: r["text"] for r in obj.assemble_text(fitting).collect()}
-    assert len(whole["fits"]) == room
+    assert len(whole["blank"]) == limit * 200 + 2
+
+
+def test_failed_calls_stay_open(spark, tmp_path):
+    """After an outage a second run ends with what a run without failures gives."""
+    notes = spark.createDataFrame([(f"g{i}", f"card {i} of words") for i in range(12)], "guid string, card string")
+    pages = spark.createDataFrame(
+        [(f"d{i}", 1, f"text {i}\n2. - objective {i}\nmore {i}") for i in range(4)],
+        "name string, page_no long, text string",
+    )
+    table = notes.select(F.monotonically_increasing_id().alias("id"), "guid", F.lit(" t ").alias("tags"))
+    fast = Params(embed=EmbedParams(attempts=1, wait=0.0), chat=ChatParams(attempts=1, wait=0.0))
+
+    def flaky(model, mark, bad):
+        """The model, failing on some inputs until the file `mark` is there."""
+
+        def call(items, *rest):
+            import os
+
+            if not os.path.exists(mark) and any(bad in str(i) for i in items):
+                raise ConnectionError("down")
+            return model(items, *rest)
+
+        return call
+
+    def run(folder, up):
+        (tmp_path / up).mkdir(exist_ok=True)
+        wrap = lambda model, bad: flaky(model, str(tmp_path / up / "up"), bad)
+        jobs.run_all(
+            spark, str(tmp_path / folder), notes=notes, pages=pages, note_table=table, params=fast,
+            embedder=wrap(HashingEmbedder(), "card 3"), chat=wrap(EchoGenerator(), "text 2"),
+            judge=Judge(wrap(HashJudge(), "card 5"), attempts=1, wait=0.0),
+        )
+        read = lambda name: spark.read.parquet(str(tmp_path / folder / name))
+        ratings = read("ratings").select("tag", "guid", "objective", "score", "rank")
+        return {
+            "notes": rows(read("notes").select("guid", "tokens")),
+            "objectives": rows(read("objectives").select("name", "learning_objective")),
+            "ratings": rows(ratings),
+        }
+
+    (tmp_path / "fine").mkdir()
+    (tmp_path / "fine" / "up").touch()
+    want = run("whole", "fine")
+    first = run("broken", "shaky")
+    assert len(first["notes"]) == 11 and {r[0] for r in first["objectives"]} == {"d0", "d1", "d3"}
+    failed = spark.read.parquet(str(tmp_path / "broken" / "objectives-failed"))
+    assert [r["name"] for r in failed.collect()] == ["d2"]
+    (tmp_path / "shaky" / "up").touch()
+    second = run("broken", "shaky")
+    assert second["notes"] == want["notes"] and second["objectives"] == want["objectives"]
+    rated = {r[:3] for r in second["ratings"]}
+    assert {r[2] for r in rated} == {r[2] for r in want["ratings"]}
 
 
 def test_best_row_per_note(spark):
