@@ -1,11 +1,11 @@
 """Exact nearest notes for every objective.
 
-Scoring every objective against every note is a matrix product. The smaller
-side, the objectives, is cut into blocks of a checked size; each block goes to
-the executors once and meets the notes where they lie, so notes are never
-shuffled or repeated. A task keeps only the best k notes per objective while it
-reads, fewer where a budget says so, and a window over those few rows gives the
-final ranking.
+Scoring every objective against every note is a matrix product. Objectives of
+one block, whose size is checked, are broadcast and meet the notes where they
+lie. More of them are cut into blocks, notes into groups, and each pair of both
+meets in a task of its own; nothing of them passes through the driver. A task
+keeps only the best k notes per objective while it reads, fewer where a budget
+says so, and a window over those few rows gives the final ranking.
 """
 
 from __future__ import annotations
@@ -13,18 +13,20 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from tagloom.session import materialise, splits
+from tagloom.session import materialise, new_folder, splits, tasks_for
 
 # Largest objective block, in bytes of float64 components.
 BLOCK_BYTES = 128 << 20
+# Most rows of an objective block that a task may have to keep.
+POOL_ROWS = 4 << 20
+# Objective blocks that meet the notes in one go; as many copies of the notes are shuffled.
+WAVE = 16
 # Largest score matrix a task holds at once, in cells.
 SCORE_CELLS = 4 << 20
 # Notes a task scores before it first cuts back to the best.
@@ -129,7 +131,6 @@ def _growing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class _Nearest:
     """Task-side scan: batches of notes in, the nearest notes per objective out."""
 
-    block: Broadcast  # objective keys, vectors, costs
     k: int
     obj_key: str
     emb: str
@@ -140,8 +141,16 @@ class _Nearest:
     cost: str | None
     budget: int | None
 
-    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, objectives, obj_cost = self.block.value
+    def block(self, table: pa.Table) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """Keys, vectors and costs of a block of objectives."""
+        matrix = _matrix(table.column(self.emb)) if table.num_rows else np.zeros((0, 1))
+        if self.metric == "cosine":
+            matrix = _unit(matrix)
+        ids = pa.concat_arrays(table.column(self.obj_key).chunks or [pa.array([], pa.int64())])
+        return ids, matrix, table.column("_price").to_numpy()
+
+    def __call__(self, block, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, objectives, obj_cost = block
         if not len(ids):
             return
         least = np.full(len(objectives), -np.inf)
@@ -229,11 +238,18 @@ def _keep_best(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int
     return df.withColumn("rank", place).filter(F.col("rank") <= k)
 
 
+def objective_id(key: Sequence[str] = ("name", "learning_objective"), emb: str = "emb") -> Column:
+    """A hash of the key and the vector; a missing name is not a missing text."""
+    return F.xxhash64(*key, emb, *[F.col(c).isNull() for c in key])
+
+
 def with_objective_id(
     objectives: DataFrame, key: Sequence[str] = ("name", "learning_objective"), emb: str = "emb"
 ) -> DataFrame:
-    """Add `obj_id`, a hash of the key and the vector; exact repeats become one row."""
-    return objectives.withColumn("obj_id", F.xxhash64(*key, emb)).dropDuplicates(["obj_id"])
+    """Add `obj_id`; exact repeats become one row, and `copies` tells how many there were."""
+    whole = F.first(F.struct(*objectives.columns)).alias("o")
+    keyed = objectives.withColumn("obj_id", objective_id(key, emb))
+    return keyed.groupBy("obj_id").agg(whole, F.count("*").alias("copies")).select("o.*", "obj_id", "copies")
 
 
 def topk_similar(
@@ -271,10 +287,8 @@ def topk_similar(
     objectives = objectives.filter(has_vector).select(obj_key, emb, price.alias("_price"))
 
     size = objectives.agg(F.count("*").alias("n"), F.max(F.size(emb)).alias("dim")).first()
-    blocks = max(1, math.ceil(size["n"] * (size["dim"] or 0) * 8 / block_bytes))
-    if blocks > 1:
-        place = F.pmod(F.xxhash64(obj_key), F.lit(blocks)).cast("int").alias("obj_block")
-        objectives = materialise(objectives.select("*", place), "objective-blocks")
+    by_bytes = math.ceil(size["n"] * (size["dim"] or 0) * 8 / block_bytes)
+    blocks = max(1, by_bytes, math.ceil(size["n"] * k / POOL_ROWS))
 
     schema = T.StructType(
         [
@@ -283,28 +297,57 @@ def topk_similar(
             T.StructField("cosine_sim", T.DoubleType()),
         ]
     )
-    near = []
-    for b in range(blocks):
-        block = objectives.filter(F.col("obj_block") == b) if blocks > 1 else objectives
-        # Bounded: a block holds about `block_bytes`, whatever the table holds.
-        table = block.select(obj_key, emb, "_price").toArrow()
-        matrix = _matrix(table.column(emb)) if table.num_rows else np.zeros((0, 1))
-        if metric == "cosine":
-            matrix = _unit(matrix)
-        ids = pa.concat_arrays(table.column(obj_key).chunks or [pa.array([], pa.int64())])
-        prices = table.column("_price").to_numpy()
-        scan = _Nearest(
-            notes.sparkSession.sparkContext.broadcast((ids, matrix, prices)),
-            k, obj_key, emb, list(note_key), list(carry), metric, decimals,
-            cost if budget is not None else None, budget,
-        )
-        near.append(notes.mapInArrow(scan, schema))
-    found = reduce(DataFrame.unionByName, near)
-
+    scan = _Nearest(
+        k, obj_key, emb, list(note_key), list(carry), metric, decimals,
+        cost if budget is not None else None, budget,
+    )
     order = [F.desc("cosine_sim"), *[F.asc(c) for c in note_key]]
     parts = min(splits(notes), MERGE_SPLITS**2)
-    if parts > MERGE_SPLITS:
-        salt = F.pmod(F.xxhash64(*note_key), F.lit(math.isqrt(parts)))
-        found = _keep_best(found.withColumn("salt", salt), [obj_key, "salt"], order, k)
-        found = found.drop("salt", "rank")
-    return _keep_best(found, [obj_key], order, k)
+
+    def merged(found: DataFrame) -> DataFrame:
+        if parts > MERGE_SPLITS:
+            salt = F.pmod(F.xxhash64(*note_key), F.lit(math.isqrt(parts)))
+            found = _keep_best(found.withColumn("salt", salt), [obj_key, "salt"], order, k)
+            found = found.drop("salt", "rank")
+        return _keep_best(found, [obj_key], order, k)
+
+    if blocks > 1:
+        return _in_grid(notes, objectives, blocks, scan, schema, merged)
+    # Bounded: one block holds about `block_bytes`.
+    block = notes.sparkSession.sparkContext.broadcast(scan.block(objectives.toArrow()))
+    return merged(notes.mapInArrow(lambda batches: scan(block.value, batches), schema))
+
+
+def _in_grid(notes, objectives, blocks, scan, schema, merged) -> DataFrame:
+    """Every block of objectives meets every group of notes in a task of its own.
+
+    A cell holds one block and about one input split of notes, however many there are. Blocks go
+    in waves, so that no more than `WAVE` copies of the notes are on disk as shuffle files; all
+    notes have met the objectives of a wave when it ends, so its ranking is final.
+    """
+    groups = tasks_for(notes)
+    # Dealt by position, so that copies of one note do not crowd a group; written, so that a row
+    # keeps its group when a lost executor has it read again.
+    group = F.pmod(F.monotonically_increasing_id(), F.lit(groups)).cast("int")
+    notes = materialise(notes.withColumn("note_group", group), "note-groups")
+    place = F.pmod(F.xxhash64(scan.obj_key), F.lit(blocks)).cast("int")
+    objectives = materialise(objectives.withColumn("obj_block", place), "objective-blocks")
+
+    def cell(asked: pa.Table, near: pa.Table) -> pa.Table:
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        found = list(scan(scan.block(asked), iter(near.combine_chunks().to_batches())))
+        return pa.Table.from_batches(found) if found else to_arrow_schema(schema).empty_table()
+
+    path = new_folder(notes.sparkSession, "near")
+    for first in range(0, blocks, WAVE):
+        last = min(first + WAVE, blocks) - 1
+        every_group = F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("note_group")
+        every_block = F.explode(F.sequence(F.lit(first), F.lit(last))).alias("obj_block")
+        asked = objectives.filter(F.col("obj_block").between(first, last)).select("*", every_group)
+        cells = asked.groupBy("obj_block", "note_group").cogroup(
+            notes.select("*", every_block).groupBy("obj_block", "note_group")
+        )
+        merged(cells.applyInArrow(cell, schema)).write.mode("append").parquet(path)
+    ranked = T.StructType([*schema.fields, T.StructField("rank", T.IntegerType())])
+    return notes.sparkSession.read.schema(ranked).parquet(path)

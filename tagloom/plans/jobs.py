@@ -16,7 +16,7 @@ from tagloom.functions.text import token_count, with_token_count
 from tagloom.functions.text import token_filter as filter_by_tokens
 from tagloom.operators import inference, objectives as obj, walk
 from tagloom.operators.assign import overlap_report, tag_notes, tag_report
-from tagloom.operators.similarity import check_dims, topk_similar, with_objective_id
+from tagloom.operators.similarity import check_dims, objective_id, topk_similar, with_objective_id
 from tagloom.params import Chat, ChatParams, Embedder, EmbedParams, Params, SelectParams, Tokenizer
 from tagloom.session import materialise, spread, tasks_for
 from tagloom.sources import writers
@@ -124,6 +124,7 @@ def candidate_pairs(
 ) -> DataFrame:
     """Ranked pairs within the token budget, with texts and prompt tokens.
 
+    Equal objectives have their pairs once; `copies` is their number.
     Ranking and budget work on keys, vectors and token counts alone; only the
     pairs that are left fetch their texts. Notes are told apart by guid and
     card, or by guid alone where `unique_guid` says that is enough.
@@ -140,7 +141,7 @@ def candidate_pairs(
     objectives = materialise(
         with_objective_id(objectives)
         .withColumn("pair_tokens", question_tokens)
-        .select("obj_id", "name", "learning_objective", "pair_tokens", "emb"),
+        .select("obj_id", "copies", "name", "learning_objective", "pair_tokens", "emb"),
         "objectives",
     )
     # Without a guid a note can get no tag; it should not spend budget either.
@@ -156,7 +157,7 @@ def candidate_pairs(
         note_key=key, carry=["tokens"], metric=params.metric,
         budget=params.token_budget if tokenizer is None else None,
     )
-    question = objectives.select("obj_id", "name", "learning_objective", "pair_tokens")
+    question = objectives.select("obj_id", "copies", "name", "learning_objective", "pair_tokens")
     near = ranked.join(question, "obj_id").withColumn(
         "prompt_tokens", (F.col("pair_tokens") + F.col("tokens")).cast("int")
     )
@@ -165,7 +166,7 @@ def candidate_pairs(
     # Read more than once below; the ranking should not run again.
     near = materialise(
         near.select(
-            "obj_id", *key, F.col("name").alias("tag"), "cosine_sim",
+            "obj_id", "copies", *key, F.col("name").alias("tag"), "cosine_sim",
             F.col("learning_objective").alias("objective"), "rank", "prompt_tokens",
         ),
         "candidates",
@@ -253,7 +254,12 @@ def rate_and_cut(
         rated = walk.walk_cut(scored, ["obj_id"], "rank", params.token_budget, params.max_poor_run)
     else:
         raise ValueError(f"unknown mode {params.mode!r}")
-    return rated.select("obj_id", *schemas.RATINGS.names)
+    return per_copy(rated).select("obj_id", *schemas.RATINGS.names)
+
+
+def per_copy(rated: DataFrame) -> DataFrame:
+    """Each row as often as its objective occurs; equal objectives are asked about once."""
+    return rated.withColumn("copies", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).drop("copies")
 
 
 def select_pairs(
@@ -264,7 +270,7 @@ def select_pairs(
     chat: ChatParams = ChatParams(),
     **options,
 ) -> DataFrame:
-    """Rated pairs of every objective; objectives that occur twice are rated once."""
+    """Rated pairs of every objective; one that occurs twice is rated once and has its rows twice."""
     pairs = candidate_pairs(notes, objectives, params, **options)
     return rate_and_cut(pairs, judge, params, chat)
 
@@ -278,7 +284,7 @@ def select_new(
     One of whose ratings failed stays open: a run after an outage rates it anew.
     Its failed rows go to `path`-failed.
     """
-    keyed = with_objective_id(objectives)
+    keyed = objectives.withColumn("obj_id", objective_id())
     done = writers.read_if_exists(notes.sparkSession, path)
     todo = writers.not_done(keyed, done, ["obj_id"])
     rated = materialise(select_pairs(notes, todo.drop("obj_id"), judge, **options), "rated")
@@ -295,7 +301,8 @@ def _append_failures(failures: DataFrame, path: str) -> None:
 
 
 def embed_new(
-    notes: DataFrame, backend: Embedder, path: str, params: EmbedParams = EmbedParams()
+    notes: DataFrame, backend: Embedder, path: str, params: EmbedParams = EmbedParams(),
+    tokenizer: Tokenizer | None = None,
 ) -> DataFrame:
     """Embed the notes the table at `path` does not hold yet and append them.
 
@@ -304,7 +311,7 @@ def embed_new(
     done = writers.read_if_exists(notes.sparkSession, path)
     key = ["guid", "card_id"]
     todo = writers.not_done(notes.withColumn("card_id", F.xxhash64("card")), done, key)
-    made = materialise(embed_notes(todo.drop("card_id"), backend, params), "notes")
+    made = materialise(embed_notes(todo.drop("card_id"), backend, params, tokenizer), "notes")
     made.filter("emb_error IS NULL").write.mode("append").parquet(path)
     _append_failures(made.filter("emb_error IS NOT NULL"), f"{path.rstrip('/')}-failed")
     return notes.sparkSession.read.parquet(path)
@@ -347,6 +354,12 @@ def run_all(
     note_table: DataFrame | None = None,
     params: Params = Params(),
     skip: Collection[str] = (),
+    tokenizer: Tokenizer | None = None,
+    min_prompt_tokens: int | None = None,
+    embed_on: str = "raw",
+    drop_empty: bool = False,
+    unique_guid: bool = False,
+    every_row_dims: bool = False,
 ) -> DataFrame | None:
     """Embed, make objectives, select, tag; stages meet in Parquet tables below `folder`.
 
@@ -358,7 +371,13 @@ def run_all(
     A stage named in `skip` is left out and its output has to be there already.
     Inputs are checked before any stage starts. Returns the tagged note table,
     or None where the last stage is skipped.
+
+    A `tokenizer`, with `min_prompt_tokens`, counts for all limits of all stages; a
+    folder should see one counter only. The other options are those of
+    `make_objectives` and `candidate_pairs`.
     """
+    if (tokenizer is None) != (min_prompt_tokens is None):
+        raise ValueError("tokenizer and min_prompt_tokens go together")
     unknown = set(skip) - set(STAGES)
     if unknown:
         raise ValueError(f"unknown stages: {sorted(unknown)}")
@@ -366,13 +385,18 @@ def run_all(
     _require(spark, skip, tables, notes=notes, pages=pages, note_table=note_table)
 
     if "embed" not in skip:
-        embed_new(notes, embedder, tables["notes"], params.embed)
+        embed_new(notes, embedder, tables["notes"], params.embed, tokenizer)
     if "objectives" not in skip:
-        objectives_new(pages, chat, embedder, tables["objectives"], params)
+        objectives_new(
+            pages, chat, embedder, tables["objectives"], params,
+            embed_on=embed_on, drop_empty=drop_empty, tokenizer=tokenizer,
+        )
     if "select" not in skip:
         select_new(
             spark.read.parquet(tables["notes"]), spark.read.parquet(tables["objectives"]),
             judge, tables["ratings"], params=params.select, chat=params.chat,
+            unique_guid=unique_guid, every_row_dims=every_row_dims,
+            tokenizer=tokenizer, min_prompt_tokens=min_prompt_tokens,
         )
     if "tag" in skip:
         return None

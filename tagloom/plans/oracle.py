@@ -91,7 +91,8 @@ OBJECTIVES = f"""
 objective as (select item_id as oid, 'lecture_' || substr(md5(text), 1, 1) as tag,
   text as objective, {tokens('text')} as objective_tokens from benchmark),
 {hashed('objective_emb', 'objective', 'oid', 'objective')},
-obj as (select min(oid) as oid, tag, objective, any_value(objective_tokens) as objective_tokens, emb
+obj as (select min(oid) as oid, tag, objective, any_value(objective_tokens) as objective_tokens, emb,
+  count(*) as copies
   from objective join objective_emb on id = oid group by tag, objective, emb)"""
 
 # Walk candidates; expects `obj`.
@@ -103,7 +104,7 @@ priced as (select *, {rating_fixed_tokens(KIND)} + objective_tokens + tokens as
   from ranked where rank <= {K}),
 spent as (select *, coalesce(sum(prompt_tokens) over (partition by oid order by rank
   rows between unbounded preceding and 1 preceding), 0)::bigint as used_before from priced),
-within as (select s.*, tag, objective, card from spent s join obj using (oid) join note using (guid)
+within as (select s.*, tag, objective, card, copies from spent s join obj using (oid) join note using (guid)
   where used_before <= {fixed.MAX_TOKENS_PER_OBJECTIVE}),
 pair as (select *, {RATE_USER} as ask from within)"""
 
@@ -202,7 +203,7 @@ kept as (select *, {truncate('line', LOCAL)} as cut, {tokens('line')} as tokens
 {hashed('kept_emb', 'kept', 'lid', 'cut')}"""
 MADE_OBJECTIVES = f"""
 obj as (select min(lid) as oid, name as tag, learning_objective as objective,
-  any_value({tokens('learning_objective')}) as objective_tokens, emb
+  any_value({tokens('learning_objective')}) as objective_tokens, emb, count(*) as copies
   from kept join kept_emb on id = lid group by name, learning_objective, emb)"""
 
 LEADER = """
@@ -212,11 +213,14 @@ DOT = "list_dot_product(embedding::double[], lead)"
 COSINE = "list_cosine_similarity(embedding::double[], lead)"
 
 
-def leader_topk(sim: str) -> str:
-    return f"""{with_(LEADER)}
+ASKED = "asked as (select vec_id as obj_id, embedding::double[] as lead from embeddings)"
+
+
+def topk(sim: str) -> str:
+    return f"""{with_(ASKED)}
 select obj_id, vec_id, label, cosine_sim, rank from (
   select *, row_number() over (partition by obj_id order by cosine_sim desc, vec_id) as rank from (
-    select obj_id, vec_id, label, round({sim}, 6) as cosine_sim from embeddings cross join leader))
+    select obj_id, vec_id, label, round({sim}, 6) as cosine_sim from embeddings cross join asked))
 where rank <= {r.TOP_K}"""
 
 
@@ -230,7 +234,9 @@ REPLY = f"""case l_linenumber
   when 6 then 'x' || {QUANTITY} || 'y n/a'
   when 7 then 'Score:' || {QUANTITY} || chr(10) || 'Score: ' || l_partkey end"""
 
-SELECTED = "select tag, objective, guid, card, cosine_sim, gpt_reply, score, rank from rated"
+# Rated once, given out for every row of the objectives table.
+EACH = "(select *, unnest(range(copies)) as copy from rated)"
+SELECTED = f"select tag, objective, guid, card, cosine_sim, gpt_reply, score, rank from {EACH}"
 
 OVERFLOW_CUT = (
     f"case when length({truncate('text', LOCAL)}) > {r.OVERFLOW_CHARS} "
@@ -241,7 +247,7 @@ ORACLE = {
     "scan_notes": "select doc_id::varchar as guid, text as card from documents where length(text) > 0",
     "scan_vectors": """select vec_id::varchar as guid, 'label ' || label as card, label as tokens,
   generate_subscripts(embedding, 1) - 1 as pos, unnest(embedding)::double as value from embeddings""",
-    "fill_scores": RATED + "select tag, objective, guid, coalesce(score, 0) as score from rated",
+    "fill_scores": RATED + f"select tag, objective, guid, coalesce(score, 0) as score from {EACH}",
     "scan_documents": "select source as name, unnest(string_split(text, chr(10))) as text from documents",
     "path_stem": f"select page_id, regexp_extract(url, '{fixed.STEM_PATTERN}', 1) as stem from pages",
     "assemble_text": with_(DOCUMENT)
@@ -251,7 +257,7 @@ ORACLE = {
     "append_new": "select doc_id, source, lang, text from documents",
     "resume_anti": """select doc_id, source from documents d
 where not exists (select 1 from labels l where l.doc_id = d.doc_id)""",
-    "incremental_stream": RATED + "select tag, objective, guid, rank, gpt_reply, score from rated",
+    "incremental_stream": RATED + f"select tag, objective, guid, rank, gpt_reply, score from {EACH}",
     "largest_source": """select source, count(*) as notes from documents
 group by source order by notes desc, source limit 1""",
     "token_count": f"select doc_id, {tokens('text')} as tokens from documents",
@@ -274,17 +280,17 @@ from documents where {tokens('text')} <= {LOCAL}""",
 from ({GENERATE_TOKENS})""",
     "parse_score": f"""select l_orderkey, l_linenumber, l_partkey, l_quantity,
 {score('reply')} as score from (select *, {normalise(REPLY)} as reply from lineitem)""",
-    "dim_check": with_(LEADER)
+    "dim_check": with_(ASKED)
     + """select 'notes' as side, any_value(len(embedding)) as first_dim, min(len(embedding)) as min_dim,
 max(len(embedding)) as max_dim, count(*) as vectors from embeddings where len(embedding) > 0
-union all select 'objectives', any_value(len(lead)), min(len(lead)), max(len(lead)), count(*) from leader""",
+union all select 'objectives', any_value(len(lead)), min(len(lead)), max(len(lead)), count(*) from asked""",
     "dot_product": with_(LEADER)
     + f"select vec_id, label, round({DOT}, 6) as sim from embeddings join leader on obj_id = label",
     "cosine": with_(LEADER)
     + f"select vec_id, label, round({COSINE}, 6) as sim from embeddings join leader on obj_id = label",
-    "sim_topk": leader_topk(DOT),
-    "sim_topk_blocked": leader_topk(DOT),
-    "sim_topk_cosine": leader_topk(COSINE),
+    "sim_topk": topk(DOT),
+    "sim_topk_blocked": topk(DOT),
+    "sim_topk_cosine": topk(COSINE),
     "sim_rank": with_(NOTES, OBJECTIVES, PAIRS)
     + """select tag as name, objective as learning_objective, guid, tokens, cosine_sim, rank
 from priced join obj using (oid)""",
@@ -318,7 +324,7 @@ where {tokens('text')} + {generation_fixed_tokens()} > {r.SMALL_LIMIT} - 2 * {r.
     + " select guid, tag, objective, coalesce(score, 0) as score, rank from best",
     "best_per_note_and_tag": RATED.rstrip() + "," + best("guid, tag")
     + " select guid, tag, objective, coalesce(score, 0) as score, rank from best",
-    "relevance_bucket": RATED + f"select tag, objective, guid, score, {SUFFIX} as suffix from rated",
+    "relevance_bucket": RATED + f"select tag, objective, guid, score, {SUFFIX} as suffix from {EACH}",
     "guid_overlap": RATED
     + "select guid from rated intersect select doc_id::varchar from documents",
     "overlap_report": RATED

@@ -84,9 +84,10 @@ def candidates(spark, sf_dir):
 
 def scored_candidates(spark, sf_dir):
     """All candidate pairs with reply and score, before the poor-run cut."""
-    return jobs.rate_and_cut(
+    rated = jobs.rate_and_cut(
         candidates(spark, sf_dir), inference.Judge(HashJudge()), SelectParams(max_poor_run=1 << 30)
     )
+    return rated.dropDuplicates(["obj_id", "rank"])  # one walk for equal objectives
 
 
 def ratings(spark, sf_dir, **options):
@@ -328,12 +329,17 @@ def _leaders(spark, sf_dir):
     )
 
 
+def _asked(spark, sf_dir):
+    """All vectors as objectives."""
+    return _vectors(spark, sf_dir).select(F.col("vec_id").alias("obj_id"), "emb")
+
+
 def dim_check(spark, sf_dir):
-    notes, leaders = _vectors(spark, sf_dir), _leaders(spark, sf_dir)
-    similarity.check_dims(notes, leaders, every_row=True)
+    notes, asked = _vectors(spark, sf_dir), _asked(spark, sf_dir)
+    similarity.check_dims(notes, asked, every_row=True)
     sides = [
         similarity.vector_dims(df).withColumn("side", F.lit(side))
-        for side, df in (("notes", notes), ("objectives", leaders))
+        for side, df in (("notes", notes), ("objectives", asked))
     ]
     return sides[0].unionByName(sides[1])
 
@@ -353,24 +359,24 @@ def cosine(spark, sf_dir):
     return _with_leader(spark, sf_dir).select("vec_id", "label", sim.alias("sim"))
 
 
-def _leader_topk(spark, sf_dir, **options):
+def _topk(spark, sf_dir, **options):
     return similarity.topk_similar(
-        _vectors(spark, sf_dir), _leaders(spark, sf_dir), TOP_K,
+        _vectors(spark, sf_dir), _asked(spark, sf_dir), TOP_K,
         note_key=["vec_id"], carry=["label"], decimals=6, **options,
     )
 
 
 def sim_topk(spark, sf_dir):
-    return _leader_topk(spark, sf_dir)
+    return _topk(spark, sf_dir)
 
 
 def sim_topk_blocked(spark, sf_dir):
     """The same with the objectives in several blocks."""
-    return _leader_topk(spark, sf_dir, block_bytes=2048)
+    return _topk(spark, sf_dir, block_bytes=1 << 15)
 
 
 def sim_topk_cosine(spark, sf_dir):
-    return _leader_topk(spark, sf_dir, metric="cosine")
+    return _topk(spark, sf_dir, metric="cosine")
 
 
 def sim_rank(spark, sf_dir):
@@ -411,10 +417,10 @@ def select_pairs_fold(spark, sf_dir):
     replies = _judged(spark, sf_dir).withColumn("gpt_reply", scores.normalise_reply("gpt_reply"))
     rows = replies.withColumn("score", scores.parse_score("gpt_reply"))
     kept = walk.walk_fold(
-        rows.select("obj_id", "prompt_tokens", *RATED), ["obj_id"], "rank",
+        rows.select("obj_id", "copies", "prompt_tokens", *RATED), ["obj_id"], "rank",
         params.token_budget, POOR_RUN, prompts.rating_fixed_tokens(),
     )
-    return kept.select(*RATED)
+    return jobs.per_copy(kept).select(*RATED)
 
 
 def select_pairs_lazy(spark, sf_dir):
@@ -490,7 +496,7 @@ def judge_ladder(spark, sf_dir):
 
 
 def best_per_note(spark, sf_dir):
-    best = assign.best_per_note(ratings(spark, sf_dir))
+    best = assign.best_per_note(ratings(spark, sf_dir), sort=True)
     return best.select("guid", "tag", "objective", "score", "rank")
 
 

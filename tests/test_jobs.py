@@ -303,3 +303,35 @@ def test_run_all_in_two_goes(spark, tables):
         jobs.run_all(spark, new_folder(spark, "run"), judge=given["judge"], skip={"embed", "objectives", "tag"})
     with pytest.raises(ValueError):
         jobs.run_all(spark, folder, judge=given["judge"], skip={"other"})
+
+
+def test_repeated_objectives_have_their_rows_each(spark, tables):
+    _, _, notes, objectives = tables
+    once = jobs.select_pairs(notes, objectives, Judge(HashJudge()))
+    twice = jobs.select_pairs(notes, objectives.unionByName(objectives), Judge(HashJudge()))
+    assert twice.exceptAll(once.unionByName(once)).isEmpty() and twice.count() == 2 * once.count()
+
+
+def test_run_all_with_a_tokenizer(spark, tables):
+    """A tokenizer that counts as the estimate does gives the same tags."""
+    notes, pages, _, _ = tables
+    note_table = notes.groupBy("guid").agg(F.lit(" t ").alias("tags")).withColumn(
+        "id", F.xxhash64("guid")
+    )
+    given = dict(
+        judge=Judge(HashJudge()), chat=EchoGenerator(), embedder=HashingEmbedder(),
+        notes=notes, pages=pages, note_table=note_table,
+    )
+
+    def tokenizer(texts):
+        import re
+
+        return [len(re.findall(r"[A-Za-z0-9]+|[^A-Za-z0-9\x09-\x0d\x20]", t)) for t in texts]
+
+    plain = jobs.run_all(spark, new_folder(spark, "run"), **given)
+    counted = jobs.run_all(
+        spark, new_folder(spark, "run"), tokenizer=tokenizer, min_prompt_tokens=30, **given
+    )
+    assert rows(counted) == rows(plain)
+    with pytest.raises(ValueError):
+        jobs.run_all(spark, new_folder(spark, "run"), tokenizer=tokenizer, **given)

@@ -133,4 +133,15 @@ def test_dimension_guard(spark):
 def test_repeated_objectives_become_one(spark):
     rows = [("l", "why", [1.0]), ("l", "why", [1.0]), ("l", "why", [2.0])]
     objectives = spark.createDataFrame(rows, "name string, learning_objective string, emb array<double>")
-    assert with_objective_id(objectives).count() == 2
+    assert {r["copies"] for r in with_objective_id(objectives).collect()} == {1, 2}
+    swapped = [("l", None, [1.0]), (None, "l", [1.0])]
+    assert with_objective_id(spark.createDataFrame(swapped, objectives.schema)).count() == 2
+
+
+def test_blocks_bounded_by_rows_to_keep(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "POOL_ROWS", 20)
+    monkeypatch.setattr(similarity, "WAVE", 2)
+    note_rows, objective_rows, notes, objectives = frames(spark, 200, 12, copies=0.5)
+    found = topk_similar(notes, objectives, 7)
+    assert got(found) == brute(note_rows, objective_rows, 7)
+    assert "Union" not in found._jdf.queryExecution().optimizedPlan().toString()
