@@ -12,7 +12,9 @@ of bounded size, which counts each link once and never writes pairs.
 Rules for odd input: words are runs of characters other than ASCII white space, in lower case;
 a text of one to four words is one shingle; null texts and texts without words link to nothing
 and are classes of their own; repeated rows are linked copies; a class is named by its smallest
-doc_id; columns other than doc_id and text are ignored; texts of any length are read whole.
+doc_id; columns other than doc_id and text are ignored; texts of any length are read whole. Rows
+are told apart by numbers of their own, so ids may be null or repeated; a class without any id
+has none for a name.
 """
 
 from __future__ import annotations
@@ -133,14 +135,19 @@ def _node(tokens: np.ndarray) -> int:
     return int(mix(total).view(np.int64)[0])
 
 
+def numbered(docs: DataFrame, name: str = "row") -> DataFrame:
+    """The rows with a number of their own, written once so that each keeps it."""
+    return materialise(docs.withColumn(name, F.monotonically_increasing_id()), "rows")
+
+
 def choose(docs: DataFrame, similarity: float, runs: int) -> DataFrame:
-    """doc_id, n, node (hash of the set), paths (of the first level), sketch."""
+    """row, doc_id, n, node (hash of the set), paths (of the first level), sketch."""
 
     def run(batches):
         own = seeds(3, runs)
         for batch in few_rows(batches):
             n, node, paths, bits = [], [], [], []
-            for text in batch.column(1):
+            for text in batch.column(2):
                 tokens = shingles(text.as_py())
                 cut = _cut(len(tokens), similarity)
                 n.append(len(tokens))
@@ -151,16 +158,17 @@ def choose(docs: DataFrame, similarity: float, runs: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(1),
                     pa.array(n, pa.int64()),
                     pa.array(node, pa.int64()),
                     pa.array(paths, pa.list_(pa.int64())),
                     pa.array(bits, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n", "node", "paths", "sketch"],
+                ["row", "doc_id", "n", "node", "paths", "sketch"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n long, node long, paths array<long>, sketch array<long>"
+    return docs.select("row", "doc_id", "text").mapInArrow(
+        run, "row long, doc_id long, n long, node long, paths array<long>, sketch array<long>"
     )
 
 
@@ -169,8 +177,8 @@ def _small(df: DataFrame, rows: int) -> DataFrame:
 
 
 def with_tokens(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The rows of `wanted` (doc_id, node and others) with `tokens`, the set of that document."""
-    names = [c for c in wanted.columns if c != "doc_id"]
+    """The rows of `wanted` (row, node and others) with `tokens`, the set of that row of docs."""
+    names = [c for c in wanted.columns if c != "row"]
     at = names.index("node")
 
     def run(batches):
@@ -182,7 +190,7 @@ def with_tokens(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     from pyspark.sql.types import BinaryType, StructField, StructType
 
-    joined = docs.join(_small(wanted, wanted.count()), "doc_id").select(*names, "text")
+    joined = docs.join(_small(wanted, wanted.count()), "row").select(*names, "text")
     fields = [*wanted.select(*names).schema.fields, StructField("tokens", BinaryType())]
     return joined.mapInArrow(run, StructType(fields))
 
@@ -336,7 +344,7 @@ def components(edges: DataFrame) -> DataFrame:
 def exact_links(docs: DataFrame, clusters: DataFrame, similarity: float) -> DataFrame:
     """node, links, other: weights of linked nodes, and edges of a spanning forest of links.
 
-    `clusters` has doc_id (one document of the node), node, n, label, size (sets in the cluster)
+    `clusters` has row (one document of the node), node, n, label, size (sets in the cluster)
     and w (documents of the node).
     """
     ratio = Fraction(str(similarity))
@@ -386,7 +394,7 @@ def exact_links(docs: DataFrame, clusters: DataFrame, similarity: float) -> Data
 
     dealt = _pair_parts(clusters, "size", "label", BLOCK)
     part = F.collect_list(F.struct("part", "own")).alias("parts")
-    wanted = dealt.groupBy("doc_id", "node", "n", "label", "w").agg(part)
+    wanted = dealt.groupBy("row", "node", "n", "label", "w").agg(part)
     rows = with_tokens(docs, materialise(wanted, "wanted"))
     return (
         rows.withColumn("p", F.explode("parts"))
@@ -400,13 +408,21 @@ def exact_links(docs: DataFrame, clusters: DataFrame, similarity: float) -> Data
 
 def join(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
     """doc_id, class_id (smallest doc_id of all that are linked), n_links (documents linked to it)."""
-    docs = id_text(docs)
+    return _classes(numbered(id_text(docs)), similarity, recall).select("doc_id", "class_id", "n_links")
+
+
+def _classes(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
+    """row, doc_id, class_id, first (the row that stands for the class), n_links, of row, doc_id, text.
+
+    The first row is the one with the smallest doc_id, a null last, and of those the smallest row.
+    """
     each = materialise(choose(docs, similarity, runs_for(recall)), "chosen")
     nodes = materialise(
         each.filter("n > 0")
         .groupBy("node")
         .agg(
-            F.count("*").alias("w"), F.min("doc_id").alias("low"),
+            F.count("*").alias("w"),
+            F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")).alias("low"),
             *[F.first(c).alias(c) for c in ("n", "paths", "sketch")],
         ),
         "nodes",
@@ -423,29 +439,32 @@ def join(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL
             break
         if sets is None:
             wanted = large.select("node").distinct().join(nodes, "node")
-            wanted = materialise(wanted.select(F.col("low").alias("doc_id"), "node"), "wanted")
+            wanted = materialise(wanted.select("low.row", "node"), "wanted")
             sets = materialise(with_tokens(docs, wanted), "sets")
         members = materialise(split(large, sets, similarity), "split")
     bucketed = _pair_parts(reduce(DataFrame.unionByName, buckets), "size", "path", LIMIT)
     near = materialise(brute_force(bucketed, nodes, similarity), "near")
     label = components(near)
     sizes = label.groupBy("label").agg(F.count("*").alias("size"))
-    own = nodes.select("node", "w", "n", F.col("low").alias("doc_id"))
+    own = nodes.select("node", "w", "n", "low.row")
     clusters = label.join(sizes, "label").join(own, "node")
     links = materialise(exact_links(docs, clusters, similarity), "links")
     classes = components(links.filter("other IS NOT NULL").select(F.col("node").alias("a"), F.col("other").alias("b")))
     n_links = links.groupBy("node").agg(F.sum("links").alias("links"))
     known = nodes.select("node", "w", "low").join(classes, "node", "left").join(n_links, "node", "left")
     lows = known.filter("label IS NOT NULL").groupBy("label").agg(F.min("low").alias("class_low"))
-    known = known.join(lows, "label", "left").select(
+    known = known.join(lows, "label", "left").withColumn("class_low", F.coalesce("class_low", "low")).select(
         "node",
-        F.coalesce("class_low", "low").alias("class_id"),
+        F.col("class_low.doc_id").alias("class_id"),
+        F.col("class_low.row").alias("first"),
         (F.col("w") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
     )
     own = F.col("n") > 0
-    return each.select("doc_id", "node", "n").join(known, "node", "left").select(
+    return each.select("row", "doc_id", "node", "n").join(known, "node", "left").select(
+        "row",
         "doc_id",
         F.when(own, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
+        F.when(own, F.col("first")).otherwise(F.col("row")).alias("first"),
         F.when(own, F.col("n_links")).otherwise(0).alias("n_links"),
     )
 
@@ -455,10 +474,17 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def one_per_class(docs: DataFrame) -> DataFrame:
-    """The documents that name their class: one of each group, with all their columns."""
-    classes = join(docs)
-    lost = materialise(classes.filter("class_id <> doc_id").select("doc_id"), "lost")
-    kept = docs.join(_small(lost, lost.count()), "doc_id", "left_anti")
+    """The rows that stand for their class: exactly one of each, with all their columns."""
+    rows = numbered(docs, "_row")
+    classes = _classes(
+        rows.select(
+            F.col("_row").alias("row"),
+            F.col("doc_id").cast("long").alias("doc_id"),
+            F.col("text").cast("string").alias("text"),
+        )
+    )
+    lost = materialise(classes.filter("first <> row").select(F.col("row").alias("_row")), "lost")
+    kept = rows.join(_small(lost, lost.count()), "_row", "left_anti")
     return kept.select(*docs.columns)
 
 

@@ -91,3 +91,14 @@ def test_messages(spark):
         plain, said = chat.from_turns(df), chat.from_json(df)
         got = chat.link(plain[0].unionByName(said[0]), plain[1].unionByName(said[1])).collect()
         assert len(got) == len(some) and len(got) == 0 or {r["linked"] for r in got} == {True, False}
+
+
+def test_near_copies_with_repeated_and_null_ids(spark):
+    a = " ".join(f"a{i}" for i in range(60))
+    near, other, third = a + " tail", " ".join(f"o{i}" for i in range(30)), " ".join(f"t{i}" for i in range(30))
+    rows = [(1, a), (1, a), (2, near), (2, other), (None, a), (None, near + " "), (None, third), (None, third), (3, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r["doc_id"] or 0, r["class_id"] or 0, r["n_links"]) for r in jaccard_join.join(df).collect())
+    assert got == [(0, 0, 1), (0, 0, 1), (0, 1, 4), (0, 1, 4), (1, 1, 4), (1, 1, 4), (2, 1, 4), (2, 2, 0), (3, 3, 0)]
+    kept = [(r["doc_id"], r["text"]) for r in jaccard_join.one_per_class(df).collect()]
+    assert sorted(kept, key=str) == sorted([(1, a), (2, other), (None, third), (3, None)], key=str)
