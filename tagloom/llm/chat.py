@@ -2,8 +2,8 @@
 
 Two readers give calls (conv, call_id, turn, name, arguments, after) and results (conv,
 call_id, turn, content): `from_json` reads messages whose text is JSON (`tool_calls` of id,
-name, arguments and after; or `tool_call_id` and content), `from_turns` reads plain talk, where
-a system or user turn is a call and the assistant's next turn its result. `link` joins them,
+name, arguments and after; or `tool_call_id` and content), `from_turns` reads all others as plain
+talk, where a system or user turn is a call and the assistant's next turn its result. `link` joins them,
 orders them, validates arguments against schemas, and writes each call as canonical JSON
 (sorted keys, no spaces).
 
@@ -11,10 +11,12 @@ Order is by (level, turn, call_id). Where every call comes after those it waits
 a valid order already and levels are 0; other conversations get levels by peeling off, in
 joins, the calls that wait for none left. Calls in or behind a cycle keep level -1 and say so.
 
-Rules for odd input: a null conv_id is the conversation ""; calls without an identifier are
-named by their turn; of calls with one identifier the earliest (then smallest) stays and
-`errors` tells of the others, of results likewise, and a result without a call is left out;
-null or broken arguments are `not an object`; other columns are ignored; empty tables give
+Rules for odd input: calls without an identifier are named by their turn; calls that share an
+identifier are rows of their own, each with the result and an error; of results for one call the
+earliest (then smallest) is shown and `errors` tells of the others; a result without a call is a
+row with an error and no name; a null conv_id is shown as "", and since nobody knows which of
+these messages belong together, each is a row with an error and links to none; broken JSON and
+JSON that neither calls a tool nor answers one is plain talk; null or broken arguments are `not an object`; other columns are ignored; empty tables give
 empty results.
 """
 
@@ -36,16 +38,24 @@ CALLS = "array<struct<id: string, name: string, arguments: string, after: array<
 
 def _messages(messages: DataFrame) -> DataFrame:
     return messages.select(
-        F.coalesce(F.col("conv_id").cast("string"), F.lit("")).alias("conv"),
+        F.col("conv_id").cast("string").alias("conv"),
         F.coalesce(F.col("turn").cast("long"), F.lit(0)).alias("turn"),
         F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
 
 
+def _tool_message() -> Column:
+    """Whether the text is valid JSON that calls tools or answers a call."""
+    calls = F.size(F.from_json(F.get_json_object("text", "$.tool_calls"), CALLS)) > 0
+    tells = calls | F.get_json_object("text", "$.tool_call_id").isNotNull()
+    found = F.col("text").startswith("{") & F.try_parse_json("text").isNotNull() & tells
+    return F.coalesce(F.when(F.col("text").startswith("{"), found), F.lit(False))
+
+
 def from_json(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls and results from messages whose text is JSON."""
-    rows = _messages(messages).filter(F.col("text").startswith("{"))
+    rows = _messages(messages).filter(_tool_message())
     calls = (
         rows.withColumn("c", F.explode(F.from_json(F.get_json_object("text", "$.tool_calls"), CALLS)))
         .select(
@@ -66,10 +76,10 @@ def from_json(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def from_turns(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls and results from plain talk: what is not the assistant's asks for the next turn."""
-    rows = _messages(messages).filter(~F.col("text").startswith("{"))
+    rows = _messages(messages).filter(~_tool_message())
 
     def named(turn: Column) -> Column:
-        return F.concat_ws("-", "conv", turn)
+        return F.concat_ws("-", F.coalesce("conv", F.lit("")), turn)
 
     words = F.trim(F.translate("text", "\t\n\x0b\x0c\r", " " * 5))
     n_words = F.when(words == "", 0).otherwise(F.size(F.split(words, " +"))).cast("long")
@@ -89,19 +99,26 @@ def from_turns(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     return calls, results
 
 
-def _levels(calls: DataFrame) -> DataFrame:
-    """conv, call_id, level for the conversations in which some call waits for a later one."""
-    waits = calls.select("conv", "call_id", "turn", F.explode(F.array_distinct("after")).alias("first"))
-    firsts = calls.select("conv", F.col("call_id").alias("first"), F.col("turn").alias("first_turn"))
+def _levels(calls: DataFrame, ids: DataFrame) -> DataFrame:
+    """conv, call_id, level for the conversations in which some call waits for a later one.
+
+    `ids` has conv, call_id and turn (the first), once for each identifier of `calls`.
+    """
+    waits = (
+        calls.select("conv", "call_id", "turn", F.explode(F.array_distinct("after")).alias("first"))
+        .groupBy("conv", "call_id", "first")
+        .agg(F.min("turn").alias("turn"))
+    )
+    firsts = ids.select("conv", F.col("call_id").alias("first"), F.col("turn").alias("first_turn"))
     edges = waits.join(firsts, ["conv", "first"])
     late = (F.col("first_turn") > F.col("turn")) | (
         (F.col("first_turn") == F.col("turn")) & (F.col("first") >= F.col("call_id"))
     )
     odd = materialise(edges.filter(late).select("conv").distinct(), "odd")
     if odd.isEmpty():
-        return calls.select("conv", "call_id", F.lit(0).alias("level")).limit(0)
+        return ids.select("conv", "call_id", F.lit(0).alias("level")).limit(0)
     left = materialise(edges.join(odd, "conv", "left_semi").select("conv", "call_id", "first"), "waits")
-    waiting = materialise(calls.join(odd, "conv", "left_semi").select("conv", "call_id"), "waiting")
+    waiting = materialise(ids.join(odd, "conv", "left_semi").select("conv", "call_id"), "waiting")
     placed, level = [], 0
     while True:
         ready = materialise(waiting.join(left, ["conv", "call_id"], "left_anti"), "ready")
@@ -153,31 +170,42 @@ def violations(schemas: dict = SCHEMAS) -> Column:
 
 
 def link(calls: DataFrame, results: DataFrame, schemas: dict = SCHEMAS) -> DataFrame:
-    """A row per call: conv, call_id, turn, name, level, linked, valid, errors, json."""
-    first = F.min(F.struct("turn", "name", "arguments", "after"))
-    calls = materialise(
-        calls.groupBy("conv", "call_id").agg(F.count("*").alias("n_calls"), first.alias("c"))
-        .select("conv", "call_id", "n_calls", "c.*"),
-        "calls",
+    """A row per call, and per result without one: conv, call_id, turn, name, level, linked,
+    valid, errors, json."""
+    key = ["conv", "call_id"]
+    calls = materialise(calls, "calls")
+    known, own = calls.filter("conv IS NOT NULL"), results.filter("conv IS NOT NULL")
+    ids = materialise(
+        known.groupBy(key).agg(F.count("*").alias("n_calls"), F.min("turn").alias("turn")), "ids"
     )
-    answers = results.groupBy("conv", "call_id").agg(
+    answers = own.groupBy(key).agg(
         F.count("*").alias("n_results"), F.min(F.struct("turn", "content")).alias("r")
     )
+    linked = (
+        known.join(answers, key, "left")
+        .join(ids.filter("n_calls > 1").select(*key, "n_calls"), key, "left")
+        .join(_levels(known, ids), key, "left")
+    )
+    alone = own.join(ids, key, "left_anti").unionByName(results.filter("conv IS NULL"))
+    alone = alone.select(*key, "turn", F.struct("turn", "content").alias("r"), F.lit(True).alias("no_call"))
     joined = (
-        calls.join(answers, ["conv", "call_id"], "left")
-        .join(_levels(calls), ["conv", "call_id"], "left")
+        linked.unionByName(calls.filter("conv IS NULL"), allowMissingColumns=True)
+        .unionByName(alone, allowMissingColumns=True)
         .withColumn("level", F.coalesce("level", F.lit(0)))
+        .withColumn("no_call", F.coalesce("no_call", F.lit(False)))
     )
     more = F.array_compact(
         F.array(
             F.when(F.col("n_calls") > 1, "identifier: repeated by calls"),
             F.when(F.col("n_results") > 1, "identifier: repeated by results"),
-            F.when(F.col("n_results").isNull(), "result: missing"),
+            F.when(F.col("no_call"), "call: missing").when(F.col("n_results").isNull(), "result: missing"),
             F.when(F.col("r.turn") < F.col("turn"), "result: before its call"),
             F.when(F.col("level") < 0, "order: in or behind a cycle"),
+            F.when(F.col("conv").isNull(), "conversation: missing"),
         )
     )
-    checked = joined.withColumn("errors", F.concat(violations(schemas), more))
+    wrong = F.when(F.col("no_call"), F.array().cast("array<string>")).otherwise(violations(schemas))
+    checked = joined.withColumn("errors", F.concat(wrong, more)).withColumn("conv", F.coalesce("conv", F.lit("")))
     shown = F.to_json(
         F.struct(
             F.coalesce(F.try_parse_json("arguments"), F.parse_json(F.lit("null"))).alias("arguments"),

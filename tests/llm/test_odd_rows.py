@@ -102,3 +102,28 @@ def test_near_copies_with_repeated_and_null_ids(spark):
     assert got == [(0, 0, 1), (0, 0, 1), (0, 1, 4), (0, 1, 4), (1, 1, 4), (1, 1, 4), (2, 1, 4), (2, 2, 0), (3, 3, 0)]
     kept = [(r["doc_id"], r["text"]) for r in jaccard_join.one_per_class(df).collect()]
     assert sorted(kept, key=str) == sorted([(1, a), (2, other), (None, third), (3, None)], key=str)
+
+
+def test_no_message_vanishes(spark):
+    rows = [
+        ("1", 0, "user", "{x} what is this"), ("1", 1, "assistant", "{an answer"),
+        ("2", 1, "assistant", "to nobody"), ("2", 4, "tool", '{"tool_call_id": "z", "content": "lost"}'),
+        ("3", 0, "user", "one of two calls"), ("3", 0, "user", "two of two calls"), ("3", 1, "assistant", "both"),
+        (None, 0, "user", "first of no conversation"), (None, 0, "user", "second of no conversation"),
+        (None, 1, "assistant", "whose answer"), ("4", 0, "user", '{"plain": "json of no tool"}'),
+    ]
+    df = spark.createDataFrame(rows, "conv_id string, turn long, role string, text string")
+    plain, said = chat.from_turns(df), chat.from_json(df)
+    got = chat.link(plain[0].unionByName(said[0]), plain[1].unionByName(said[1])).collect()
+    made = [(r["conv"], r["call_id"], r["name"], r["linked"], r["errors"]) for r in got]
+    repeated, nowhere = "identifier: repeated by calls", "conversation: missing"
+    assert sorted(made, key=str) == sorted([
+        ("1", "1-0", "ask", True, ""),
+        ("2", "2-0", None, False, "call: missing"), ("2", "z", None, False, "call: missing"),
+        ("3", "3-0", "ask", True, repeated), ("3", "3-0", "ask", True, repeated),
+        ("", "-0", "ask", False, f"result: missing; {nowhere}"), ("", "-0", "ask", False, f"result: missing; {nowhere}"),
+        ("", "-0", None, False, f"call: missing; {nowhere}"), ("4", "4-0", "ask", False, "result: missing"),
+    ], key=str)
+    shown = " ".join(r["json"] for r in got)
+    for text in ("{x} what", "{an answer", "to nobody", "lost", "one of", "two of", "first of", "second of", "whose"):
+        assert text in shown
