@@ -6,7 +6,8 @@ import pytest
 
 import corpus_pipeline
 from tagloom.llm import (
-    bpe, chat, decontaminate, jaccard_join, language_id, pii, quality, sharding, token_output, toxicity,
+    bpe, chat, decontaminate, jaccard_join, language_id, periodic_runs, pii, quality, rule_ensemble, sharding,
+    token_output, toxicity,
 )
 
 BENCH = "item_id long, text string, n_words int"
@@ -32,6 +33,8 @@ OPERATORS = {
     "decontaminate": lambda s, d: decontaminate.contamination(d, bench(s)),
     "pii": lambda s, d: pii.annotate(d),
     "bpe": lambda s, d: bpe.round_trip(d),
+    "periodic": lambda s, d: periodic_runs.detect(d),
+    "rules": lambda s, d: rule_ensemble.score(d, rule_ensemble.train(d, labels(s))),
 }
 
 
