@@ -245,6 +245,12 @@ OVERFLOW_CUT = (
 
 ORACLE = {
     "scan_notes": "select doc_id::varchar as guid, text as card from documents where length(text) > 0",
+    "scan_notes_inline": "select doc_id::varchar as guid, text as card from documents where length(text) > 0",
+    "scan_objectives": with_(OBJECTIVES)
+    + "select tag as name, objective as learning_objective, objective_tokens as tokens, fp as emb "
+    "from objective join objective_emb on id = oid",
+    "scan_ratings_csv": RATED
+    + f"select tag, objective, guid, card, gpt_reply, coalesce(score, 0) as score from {EACH}",
     "scan_vectors": """select vec_id::varchar as guid, 'label ' || label as card, label as tokens,
   generate_subscripts(embedding, 1) - 1 as pos, unnest(embedding)::double as value from embeddings""",
     "fill_scores": RATED + f"select tag, objective, guid, coalesce(score, 0) as score from {EACH}",

@@ -105,10 +105,11 @@ def fingerprint(emb="emb"):
 # --- sources and sinks -----------------------------------------------------
 
 
-def scan_notes(spark, sf_dir):
-    def quoted(c):
-        return F.concat(F.lit('"'), F.replace(F.col(c), F.lit('"'), F.lit('""')), F.lit('"'))
+def quoted(c):
+    return F.concat(F.lit('"'), F.replace(F.col(c), F.lit('"'), F.lit('""')), F.lit('"'))
+
 
+def scan_notes(spark, sf_dir):
     path = new_folder(spark, "export")
     notes = notes_view(spark, sf_dir)
     lines = F.array(
@@ -120,6 +121,33 @@ def scan_notes(spark, sf_dir):
     return readers.scan_notes(spark, path)
 
 
+def scan_notes_inline(spark, sf_dir):
+    """Notes whose lines end in comments, with quotes of their own; the texts keep their '#'."""
+    path = new_folder(spark, "export")
+    line = F.concat(quoted("guid"), F.lit("\t"), quoted("card"), F.lit('#a "comment" of '), "guid")
+    commented = F.concat(F.lit("lost"), "guid", F.lit("#\tno card"))
+    notes = notes_view(spark, sf_dir).withColumns({"line": line, "commented": commented})
+    notes.select(F.explode(F.array("line", "commented")).alias("value")).write.text(path)
+    return readers.scan_notes(spark, path, inline_comments=True)
+
+
+def scan_objectives(spark, sf_dir):
+    """Embedded objectives through CSV."""
+    path = new_folder(spark, "objectives")
+    writers.export_csv(embedded_objectives(spark, sf_dir).select(*schemas.OBJECTIVES.names), path)
+    found = readers.scan_vectors(spark, path, schemas.OBJECTIVES)
+    return found.select("name", "learning_objective", "tokens", fingerprint().alias("emb"))
+
+
+def scan_ratings_csv(spark, sf_dir):
+    """Rated pairs through CSV, texts with line breaks and all."""
+    path = new_folder(spark, "ratings")
+    columns = [c for c in schemas.RATINGS.names if c not in ("rank", "rate_error")]
+    writers.export_csv(ratings(spark, sf_dir).select(*columns), path)
+    found = readers.scan_ratings(spark, path, format="csv")
+    return found.select("tag", "objective", "guid", "card", "gpt_reply", "score")
+
+
 def scan_vectors(spark, sf_dir):
     """Vectors through CSV, a header row repeated before every one of them."""
     path = new_folder(spark, "vectors")
@@ -544,7 +572,7 @@ def flagship(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        scan_notes, scan_vectors, fill_scores, scan_documents, path_stem, assemble_text,
+        scan_notes, scan_notes_inline, scan_vectors, scan_objectives, fill_scores, scan_ratings_csv, scan_documents, path_stem, assemble_text,
         write_once, append_new, resume_anti, incremental_stream, largest_source,
         token_count, token_filter, truncate_text,
         split_lines, clean_objective, objective_filter, objective_counts,
