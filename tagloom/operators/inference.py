@@ -18,9 +18,6 @@ from pyspark.sql import DataFrame, types as T
 from tagloom import fixed, schemas
 from tagloom.params import Chat, Embedder
 
-# Single calls that may fail one after another before a service counts as down.
-FAILURES_IN_A_ROW = 3
-
 
 def _truncate(text: str, max_tokens: int | None) -> str:
     """Row form of functions.text.truncate_text, for the retry inside a task."""
@@ -54,10 +51,11 @@ def _with_retry(call, attempts: int, wait: float, growth: float):
 
 
 def _batched(items: list, call, batch_size: int, attempts: int, wait: float, growth: float, single):
-    """Call per chunk, again after a wait while it fails; then once for each of its items alone.
+    """Call per chunk, again after a wait while it fails; then halve it until what fails stands alone.
 
-    A service that is down or limits its rate fails item after item too; after
-    three such failures in a row the rest of the chunk gets the same error.
+    So one item that a model refuses costs the others a few calls more, and every item is asked
+    about by itself before it counts as failed. A service that is down or limits its rate is given
+    `wait` seconds after each failure; no item is left out for its sake.
     """
     results, errors = [], []
     for start in range(0, len(items), batch_size):
@@ -66,21 +64,25 @@ def _batched(items: list, call, batch_size: int, attempts: int, wait: float, gro
         if error is None:
             results += got
             errors += [None] * len(chunk)
-            continue
-        failed = 0
-        for item in chunk:
-            if failed < FAILURES_IN_A_ROW:
-                got, error = _with_retry(lambda: single(item), 1, wait, growth)
-                failed = failed + 1 if error else 0
-                if error and failed < FAILURES_IN_A_ROW:
-                    time.sleep(wait)
-            else:
-                got = None
-            results.append(got)
-            errors.append(error)
+        else:
+            halves = _in_halves(chunk, call, wait, single)
+            results += [got for got, _ in halves]
+            errors += [error for _, error in halves]
     return results, errors
 
 
+def _in_halves(failed: list, call, wait: float, single) -> list[tuple]:
+    """Result and error of each item of a chunk whose call failed."""
+    if len(failed) == 1:
+        return [_with_retry(lambda: single(failed[0]), 1, wait, 0.0)]
+    time.sleep(wait)
+    found = []
+    for half in (failed[: len(failed) // 2], failed[len(failed) // 2 :]):
+        got, error = _with_retry(lambda: _checked(call(half), half), 1, wait, 0.0)
+        found += [(one, None) for one in got] if error is None else _in_halves(half, call, wait, single)
+    return found
+
+
 def _checked(results: list, chunk: list) -> list:
     if len(results) != len(chunk):
         raise ValueError(f"model returned {len(results)} results for {len(chunk)} inputs")

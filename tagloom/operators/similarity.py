@@ -246,10 +246,24 @@ def objective_id(key: Sequence[str] = ("name", "learning_objective"), emb: str =
 def with_objective_id(
     objectives: DataFrame, key: Sequence[str] = ("name", "learning_objective"), emb: str = "emb"
 ) -> DataFrame:
-    """Add `obj_id`; exact repeats become one row, and `copies` tells how many there were."""
-    whole = F.first(F.struct(*objectives.columns)).alias("o")
-    keyed = objectives.withColumn("obj_id", objective_id(key, emb))
-    return keyed.groupBy("obj_id").agg(whole, F.count("*").alias("copies")).select("o.*", "obj_id", "copies")
+    """Add `obj_id`; rows equal in key and vector become one, and `copies` tells how many there were.
+
+    Columns of these two names are replaced. Different objectives whose hashes agree stay apart:
+    all but the first take another id.
+    """
+    rest = [c for c in objectives.columns if c not in (*key, emb, "obj_id", "copies")]
+    keyed = objectives.select(*key, emb, *rest).withColumn("obj_id", objective_id(key, emb))
+    whole = F.first(F.struct(*rest)).alias("_rest") if rest else F.lit(None).alias("_rest")
+    once = keyed.groupBy("obj_id", *key, emb).agg(F.count("*").alias("copies"), whole)
+    place = F.row_number().over(Window.partitionBy("obj_id").orderBy(*key, emb))
+    apart = once.withColumn("_place", place).select(
+        *[c for c in objectives.columns if c in (*key, emb)],
+        *[F.col("_rest")[c].alias(c) for c in rest],
+        F.when(F.col("_place") == 1, F.col("obj_id")).otherwise(F.xxhash64("obj_id", "_place")).alias("obj_id"),
+        "copies",
+    )
+    own = [c for c in objectives.columns if c not in ("obj_id", "copies")]
+    return apart.select(*own, "obj_id", "copies")
 
 
 def topk_similar(

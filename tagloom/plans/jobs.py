@@ -18,7 +18,7 @@ from tagloom.operators import inference, objectives as obj, walk
 from tagloom.operators.assign import overlap_report, tag_notes, tag_report
 from tagloom.operators.similarity import check_dims, objective_id, topk_similar, with_objective_id
 from tagloom.params import Chat, ChatParams, Embedder, EmbedParams, Params, SelectParams, Tokenizer
-from tagloom.session import materialise, spread, tasks_for
+from tagloom.session import is_scan, materialise, spread, tasks_for
 from tagloom.sources import writers
 
 # Most key hashes that are broadcast; each takes some 16 bytes on an executor.
@@ -139,14 +139,15 @@ def candidate_pairs(
     question_tokens = F.lit(base) + token_count("learning_objective")
     # Sized, sent out and joined below; made once.
     objectives = materialise(
-        with_objective_id(objectives)
+        with_objective_id(objectives.select("name", "learning_objective", "emb"))
         .withColumn("pair_tokens", question_tokens)
         .select("obj_id", "copies", "name", "learning_objective", "pair_tokens", "emb"),
         "objectives",
     )
     # Without a guid a note can get no tag; it should not spend budget either.
-    notes = notes.filter("guid IS NOT NULL")
-    if "InArrow" in notes._jdf.queryExecution().analyzed().toString():
+    own = [c for c in ("guid", "card", "tokens", "emb", "card_id") if c in notes.columns]
+    notes = notes.filter("guid IS NOT NULL").select(*own)
+    if not is_scan(notes):
         notes = materialise(notes, "notes")  # read twice below; a model runs once
     check_dims(notes, objectives, every_row=every_row_dims)
     key = ["guid"] if unique_guid else ["guid", "card_id"]

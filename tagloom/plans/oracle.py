@@ -315,6 +315,12 @@ where used_before <= {fixed.MAX_TOKENS_PER_OBJECTIVE // 2}""",
         hashed("emb", "src", "doc_id", "cut"),
     )
     + "select id::varchar as guid, fp as emb, null::varchar as emb_error from emb",
+    "embed_failures": with_(hashed("emb", "documents", "doc_id", "text"))
+    + "select id::varchar as guid, fp as emb, null::varchar as emb_error from emb",
+    "generate_failures": with_(MADE)
+    + "select name, learning_objective, tokens, fp as emb from kept join kept_emb on id = lid",
+    "rate_failures": with_(NOTES, OBJECTIVES, PAIRS, JUDGED)
+    + "select tag, objective, guid, gpt_reply, attempts, null::varchar as rate_error, score from judged",
     "embed_notes_job": with_(NOTES)
     + "select guid, card, tokens, fp as emb from note join note_emb on id = guid",
     "make_objectives": with_(MADE)

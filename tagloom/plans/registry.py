@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tagloom import schemas
-from tagloom.backends import EchoGenerator, HashingEmbedder, HashJudge
+from tagloom.backends import EchoGenerator, FailsByHash, HashingEmbedder, HashJudge
 from tagloom.functions import prompts, scores, text, vectors
 from tagloom.operators import assign, inference, objectives as obj, similarity, walk
 from tagloom.params import ChatParams, EmbedParams, Params, SelectParams
@@ -481,6 +481,36 @@ def embed_retry(spark, sf_dir):
     return found.select("guid", fingerprint().alias("emb"), "emb_error")
 
 
+def embed_failures(spark, sf_dir):
+    """Vectors from a model that fails on batches with certain texts in them."""
+    found = inference.embed(
+        spread(notes_view(spark, sf_dir)), "card", FailsByHash(HashingEmbedder()),
+        batch_size=64, attempts=1, wait=0.0,
+    )
+    return found.select("guid", fingerprint().alias("emb"), "emb_error")
+
+
+def generate_failures(spark, sf_dir):
+    """Objectives by way of a chat model that fails on batches with certain documents in them."""
+    params = Params(chat=ChatParams(attempts=1, wait=0.0))
+    found = jobs.make_objectives(
+        pages_view(spark, sf_dir), FailsByHash(EchoGenerator()), HashingEmbedder(), params
+    )
+    return found.made.select("name", "learning_objective", "tokens", fingerprint().alias("emb"))
+
+
+def rate_failures(spark, sf_dir):
+    """Ratings by a model that fails on batches with certain prompts in them."""
+    pairs = jobs.with_prompts(candidates(spark, sf_dir))
+    judge = inference.Judge(FailsByHash(HashJudge()), attempts=1, wait=0.0, growth=0.0)
+    replies = inference.judge(pairs, "prompt", judge, max_tokens="completion_tokens")
+    replies = replies.withColumn("gpt_reply", scores.normalise_reply("gpt_reply"))
+    return replies.select(
+        "tag", "objective", "guid", "gpt_reply", "attempts", "rate_error",
+        scores.parse_score("gpt_reply").alias("score"),
+    )
+
+
 def embed_notes_job(spark, sf_dir):
     path = new_folder(spark, "notes")
     notes = writers.write_once(embedded_notes(spark, sf_dir), path)
@@ -579,7 +609,7 @@ QUERIES = {
         rating_prompt, generation_prompt, budget_strict, budget_clamped, parse_score,
         dim_check, dot_product, cosine, sim_rank, sim_topk, sim_topk_blocked, sim_topk_cosine,
         token_budget, poor_run_stop, select_pairs, select_pairs_fold, select_pairs_lazy,
-        embed_texts, embed_retry, embed_notes_job,
+        embed_texts, embed_retry, embed_failures, embed_notes_job, generate_failures, rate_failures,
         make_objectives, make_objectives_rejected, judge_pairs, judge_ladder,
         best_per_note, best_per_note_and_tag, relevance_bucket,
         guid_overlap, overlap_report, tag_notes, tag_report, flagship,

@@ -58,6 +58,22 @@ def splits(df: DataFrame) -> int:
     return sum(size for size in sizes if size < UNKNOWN_BYTES) // SPLIT_BYTES + 1
 
 
+#: Plan nodes that cost little beside reading the table again.
+_PLAIN = {"Project", "Filter", "LogicalRelation", "DataSourceV2ScanRelation", "DataSourceV2Relation", "InMemoryRelation"}
+
+
+def is_scan(df: DataFrame) -> bool:
+    """Whether a frame is a stored table with at most filters and JVM expressions on it."""
+    todo = [df._jdf.queryExecution().optimizedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.nodeName().split(" ")[0] not in _PLAIN:
+            return False
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return True
+
+
 def spread(df: DataFrame, tasks: int | None = None) -> DataFrame:
     """Spread costly row work over `tasks`, or over all cores when the input has few splits.
 

@@ -36,6 +36,35 @@ def test_one_bad_text_spoils_no_batch(spark):
     ]
 
 
+def test_every_text_is_tried_alone_before_it_fails(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def backend(batch):
+        calls.add(1)
+        if any("bad" in t for t in batch):
+            raise RuntimeError(f"refused {next(t for t in batch if 'bad' in t)}")
+        return [[1.0] for _ in batch]
+
+    found = inference.embed(
+        texts(spark, "bad1", "bad2", "bad3", "ok1", "ok2", *"abcdefghijk"), "t", backend, attempts=1, wait=0.0
+    ).collect()
+    assert [r["emb_error"] for r in found[:3]] == [f"RuntimeError: refused bad{i}" for i in (1, 2, 3)]
+    assert all(r["emb"] == [1.0] and r["emb_error"] is None for r in found[3:])
+    assert calls.value < 16
+
+
+def test_a_service_that_is_down_gets_waits(monkeypatch):
+    waits = []
+    monkeypatch.setattr(inference.time, "sleep", waits.append)
+
+    def down(items):
+        raise ConnectionError("down")
+
+    results, errors = inference._batched([1, 2, 3, 4], down, 4, 2, 5.0, 0.0, lambda item: down([item]))
+    assert results == [None] * 4 and errors == ["ConnectionError: down"] * 4
+    assert len(waits) >= 3 and set(waits) == {5.0}
+
+
 def test_overflow_is_tried_once_at_half(spark):
     seen = spark.sparkContext.accumulator(0)
 

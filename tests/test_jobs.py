@@ -335,3 +335,36 @@ def test_run_all_with_a_tokenizer(spark, tables):
     assert rows(counted) == rows(plain)
     with pytest.raises(ValueError):
         jobs.run_all(spark, new_folder(spark, "run"), tokenizer=tokenizer, **given)
+
+
+def test_names_of_own_columns_may_clash(spark, tables):
+    """Inputs may carry columns that are called as the library's own."""
+    _, _, notes, objectives = tables
+    clash = {c: F.lit(None).cast("string") for c in (
+        "obj_id", "copies", "rank", "prompt_tokens", "pair_tokens", "cosine_sim", "_hash", "_price", "_rest", "_place",
+    )}
+    want = rows(jobs.select_pairs(notes, objectives, Judge(HashJudge())).select("guid", "tag", "objective", "rank"))
+    odd_notes = notes.withColumns({k: v for k, v in clash.items()})
+    odd_objectives = objectives.withColumns(clash).withColumn("guid", F.lit("x"))
+    got = jobs.select_pairs(odd_notes, odd_objectives, Judge(HashJudge()))
+    assert rows(got.select("guid", "tag", "objective", "rank")) == want
+    marked = notes.select("guid", "card").withColumns(clash).withColumn("emb_error", F.lit("x"))
+    assert jobs.embed_notes(marked, HashingEmbedder()).filter("emb IS NULL").count() == 0
+
+
+def test_a_python_model_before_the_notes_runs_once(spark, tables):
+    from pyspark.sql.pandas.functions import pandas_udf
+
+    note_df, _, _, objectives = tables
+    calls = spark.sparkContext.accumulator(0)
+
+    @pandas_udf("array<double>")
+    def embed(cards):
+        calls.add(len(cards))
+        import pandas as pd
+
+        return pd.Series(HashingEmbedder()(list(cards)))
+
+    notes = note_df.select("guid", "card", F.lit(3).alias("tokens"), embed("card").alias("emb"))
+    jobs.candidate_pairs(notes, objectives).count()
+    assert calls.value == note_df.count()

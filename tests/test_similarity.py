@@ -145,3 +145,16 @@ def test_blocks_bounded_by_rows_to_keep(spark, monkeypatch):
     found = topk_similar(notes, objectives, 7)
     assert got(found) == brute(note_rows, objective_rows, 7)
     assert "Union" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_different_objectives_of_one_hash_stay_apart(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "objective_id", lambda key=(), emb="": F.lit(5).cast("long"))
+    rows = [("a", "x", [1.0], 1, 9), ("a", "x", [1.0], 1, 9), ("b", "x", [1.0], 2, 9), ("a", "y", [1.0], 3, 9)]
+    df = spark.createDataFrame(rows, "name string, learning_objective string, emb array<double>, copies int, obj_id int")
+    got = similarity.with_objective_id(df)
+    assert got.columns == ["name", "learning_objective", "emb", "obj_id", "copies"]
+    found = got.collect()
+    assert sorted((r["name"], r["learning_objective"], r["copies"]) for r in found) == [
+        ("a", "x", 2), ("a", "y", 1), ("b", "x", 1),
+    ]
+    assert len({r["obj_id"] for r in found}) == 3
