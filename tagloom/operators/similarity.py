@@ -2,10 +2,13 @@
 
 Scoring every objective against every note is a matrix product. Objectives of
 one block, whose size is checked, are broadcast and meet the notes where they
-lie. More of them are cut into blocks, notes into groups, and each pair of both
-meets in a task of its own; nothing of them passes through the driver. A task
-keeps only the best k notes per objective while it reads, fewer where a budget
-says so, and a window over those few rows gives the final ranking.
+lie. More of them are cut into blocks, notes into groups: each group of notes is
+held by one task, which the blocks pass through one after another, so that notes
+are shuffled once and nothing passes through the driver. A task keeps only the
+best k notes per objective while it reads, fewer where a budget says so, and a
+window over those few rows gives the final ranking. Where there are many tasks,
+a first pass over some of the notes tells for every objective how similar a note
+has to be at least; what is less never leaves its task.
 """
 
 from __future__ import annotations
@@ -17,16 +20,19 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from tagloom.session import materialise, new_folder, splits, tasks_for
+from tagloom.session import is_scan, materialise, splits, tasks_for
 
 # Largest objective block, in bytes of float64 components.
 BLOCK_BYTES = 128 << 20
 # Most rows of an objective block that a task may have to keep.
 POOL_ROWS = 4 << 20
-# Objective blocks that meet the notes in one go; as many copies of the notes are shuffled.
-WAVE = 16
+# Tasks over the notes from which a first pass sets the bar, and the tasks and rows it reads.
+START_TASKS = 64
+SAMPLE_TASKS = 16
+SAMPLE_ROWS = 10_000
 # Largest score matrix a task holds at once, in cells.
 SCORE_CELLS = 4 << 20
 # Notes a task scores before it first cuts back to the best.
@@ -141,19 +147,19 @@ class _Nearest:
     cost: str | None
     budget: int | None
 
-    def block(self, table: pa.Table) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-        """Keys, vectors and costs of a block of objectives."""
+    def block(self, table: pa.Table) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+        """Keys, vectors, costs and starting bars of a block of objectives."""
         matrix = _matrix(table.column(self.emb)) if table.num_rows else np.zeros((0, 1))
         if self.metric == "cosine":
             matrix = _unit(matrix)
         ids = pa.concat_arrays(table.column(self.obj_key).chunks or [pa.array([], pa.int64())])
-        return ids, matrix, table.column("_price").to_numpy()
+        return ids, matrix, table.column("_price").to_numpy(), table.column("_bar").to_numpy()
 
     def __call__(self, block, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, objectives, obj_cost = block
+        ids, objectives, obj_cost, bar = block
         if not len(ids):
             return
-        least = np.full(len(objectives), -np.inf)
+        least = bar.copy()
         pool: list[pa.Table] = []
         settled = 0  # rows of the pool at its last cut
         for batch in _growing(batches):
@@ -281,6 +287,7 @@ def topk_similar(
     cost: str = "tokens",
     obj_cost: str = "pair_tokens",
     block_bytes: int = BLOCK_BYTES,
+    start_tasks: int | None = START_TASKS,
 ) -> DataFrame:
     """The k most similar notes of every objective: keys, `carry`, similarity, rank.
 
@@ -291,6 +298,9 @@ def topk_similar(
     With a `budget`, rows whose predecessors cost more than it may be left out:
     a pair costs the note's `cost` plus the objective's `obj_cost`. Tasks then
     pass on far fewer than k rows; `walk.token_budget_cut` makes the final cut.
+
+    From `start_tasks` tasks over the notes on (None: never), some of them are
+    scored first, to set the bar that the others start from. Results are equal.
     """
     if metric not in ("dot", "cosine"):
         raise ValueError(f"unknown metric {metric!r}")
@@ -299,6 +309,13 @@ def topk_similar(
     notes = notes.filter(has_vector).select(*note_columns, emb)
     price = F.col(obj_cost) if budget is not None else F.lit(0)
     objectives = objectives.filter(has_vector).select(obj_key, emb, price.alias("_price"))
+    if start_tasks is not None and tasks_for(notes) >= start_tasks:
+        objectives = _with_bars(
+            notes, objectives, k, note_key=note_key, obj_key=obj_key, emb=emb, metric=metric,
+            decimals=decimals, budget=budget, cost=cost, block_bytes=block_bytes,
+        )
+    else:
+        objectives = objectives.withColumn("_bar", F.lit(-math.inf))
 
     size = objectives.agg(F.count("*").alias("n"), F.max(F.size(emb)).alias("dim")).first()
     by_bytes = math.ceil(size["n"] * (size["dim"] or 0) * 8 / block_bytes)
@@ -332,36 +349,87 @@ def topk_similar(
     return merged(notes.mapInArrow(lambda batches: scan(block.value, batches), schema))
 
 
+def _some_rows(notes: DataFrame) -> DataFrame:
+    """The first rows of some of the tasks that read the notes; the others read nothing."""
+    stride = max(1, tasks_for(notes) // SAMPLE_TASKS)
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if TaskContext.get().partitionId() % stride:
+            return
+        left = SAMPLE_ROWS
+        for batch in batches:
+            yield batch.slice(0, left)
+            left -= batch.num_rows
+            if left <= 0:
+                return
+
+    return notes.mapInArrow(first, notes.schema)
+
+
+def _with_bars(notes, objectives, k, *, obj_key, budget, cost, **options) -> DataFrame:
+    """Add `_bar`: the similarity at which some of the notes spend k or the budget already.
+
+    These notes are among all notes, so what is less similar cannot be in the result.
+    """
+    objectives = materialise(objectives, "objectives")
+    found = topk_similar(
+        materialise(_some_rows(notes), "some-notes"), objectives, k, obj_key=obj_key, budget=budget,
+        cost=cost, obj_cost="_price", carry=[cost] if budget is not None else [], start_tasks=None, **options,
+    )
+    spent = F.col("rank") == k
+    if budget is not None:
+        found = found.join(objectives.select(obj_key, "_price"), obj_key)
+        used = F.sum(F.col(cost) + F.col("_price")).over(Window.partitionBy(obj_key).orderBy("rank"))
+        found = found.withColumn("_used", used)
+        spent |= F.col("_used") > budget
+    bars = found.groupBy(obj_key).agg(F.max(F.when(spent, F.col("cosine_sim"))).alias("_bar"))
+    # Read for its size and for its rows.
+    return materialise(
+        objectives.join(bars, obj_key, "left").withColumn("_bar", F.coalesce("_bar", F.lit(-math.inf))), "bars"
+    )
+
+
 def _in_grid(notes, objectives, blocks, scan, schema, merged) -> DataFrame:
-    """Every block of objectives meets every group of notes in a task of its own.
+    """Every block of objectives passes through every group of notes.
 
-    A cell holds one block and about one input split of notes, however many there are. Blocks go
-    in waves, so that no more than `WAVE` copies of the notes are on disk as shuffle files; all
-    notes have met the objectives of a wave when it ends, so its ranking is final.
+    A task holds one group, about one input split of notes, and one block at a time, however many
+    there are. Notes are shuffled once, objectives once for each group.
     """
     groups = tasks_for(notes)
-    # Dealt by position, so that copies of one note do not crowd a group; written, so that a row
-    # keeps its group when a lost executor has it read again.
+    # Dealt by position, so that copies of one note do not crowd a group; what is no stored table
+    # is written, so that a row keeps its group when a lost executor has it read again.
     group = F.pmod(F.monotonically_increasing_id(), F.lit(groups)).cast("int")
-    notes = materialise(notes.withColumn("note_group", group), "note-groups")
-    place = F.pmod(F.xxhash64(scan.obj_key), F.lit(blocks)).cast("int")
-    objectives = materialise(objectives.withColumn("obj_block", place), "objective-blocks")
-
-    def cell(asked: pa.Table, near: pa.Table) -> pa.Table:
-        from pyspark.sql.pandas.types import to_arrow_schema
-
-        found = list(scan(scan.block(asked), iter(near.combine_chunks().to_batches())))
-        return pa.Table.from_batches(found) if found else to_arrow_schema(schema).empty_table()
-
-    path = new_folder(notes.sparkSession, "near")
-    for first in range(0, blocks, WAVE):
-        last = min(first + WAVE, blocks) - 1
-        every_group = F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("note_group")
-        every_block = F.explode(F.sequence(F.lit(first), F.lit(last))).alias("obj_block")
-        asked = objectives.filter(F.col("obj_block").between(first, last)).select("*", every_group)
-        cells = asked.groupBy("obj_block", "note_group").cogroup(
-            notes.select("*", every_block).groupBy("obj_block", "note_group")
-        )
-        merged(cells.applyInArrow(cell, schema)).write.mode("append").parquet(path)
-    ranked = T.StructType([*schema.fields, T.StructField("rank", T.IntegerType())])
-    return notes.sparkSession.read.schema(ranked).parquet(path)
+    notes = notes.select(F.lit(-1).alias("obj_block"), group.alias("note_group"), F.struct(*notes.columns).alias("note"))
+    if not is_scan(notes):
+        notes = materialise(notes, "note-groups")
+    asked = objectives.select(
+        F.pmod(F.xxhash64(scan.obj_key), F.lit(blocks)).cast("int").alias("obj_block"),
+        F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("note_group"),
+        F.struct(*objectives.columns).alias("asked"),
+    )
+    both = notes.unionByName(asked, allowMissingColumns=True)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        block: list[pa.RecordBatch] = []
+        at = -1
+        for batch in batches:
+            numbers = batch.column(0).to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(numbers)) + 1).tolist(), len(numbers)]
+            for a, b in zip(edges, edges[1:]):
+                if numbers[a] != at:
+                    yield from passed(block, held)
+                    at, block = numbers[a], []
+                part = batch.slice(a, b - a)
+                if at == -1:
+                    held.append(pa.RecordBatch.from_struct_array(part.column(2)))
+                else:
+                    block.append(pa.RecordBatch.from_struct_array(part.column(3)))
+        yield from passed(block, held)
+
+    def passed(block, held):
+        if block and held:
+            yield from scan(scan.block(pa.Table.from_batches(block)), iter(held))
+
+    cells = both.repartitionById(groups, "note_group").sortWithinPartitions("obj_block")
+    return merged(cells.select("obj_block", "note_group", "note", "asked").mapInArrow(run, schema))

@@ -140,11 +140,60 @@ def test_repeated_objectives_become_one(spark):
 
 def test_blocks_bounded_by_rows_to_keep(spark, monkeypatch):
     monkeypatch.setattr(similarity, "POOL_ROWS", 20)
-    monkeypatch.setattr(similarity, "WAVE", 2)
     note_rows, objective_rows, notes, objectives = frames(spark, 200, 12, copies=0.5)
     found = topk_similar(notes, objectives, 7)
     assert got(found) == brute(note_rows, objective_rows, 7)
-    assert "Union" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_grid_shuffles_notes_once(spark, tmp_path):
+    note_rows, objective_rows, notes, objectives = frames(spark, 300, 40, partitions=3)
+    notes.write.parquet(str(tmp_path / "notes"))
+    stored = spark.read.parquet(str(tmp_path / "notes"))
+    found = topk_similar(stored, objectives, 6, block_bytes=200)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1  # the notes, read once
+    assert plan.count("Exchange") == 2  # notes with objectives, and the few rows that are ranked
+    assert plan.count("MapInArrow") == 1
+    assert got(found) == brute(note_rows, objective_rows, 6)
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 20, 200])
+@pytest.mark.parametrize("budget", [None, 300])
+def test_starting_bar_changes_no_result(spark, monkeypatch, block_bytes, budget):
+    monkeypatch.setattr(similarity, "tasks_for", lambda df: 8)
+    monkeypatch.setattr(similarity, "SAMPLE_TASKS", 2)
+    note_rows, objective_rows, notes, objectives = frames(spark, 600, 12, copies=0.3, partitions=8)
+    options = {"budget": budget, "carry": ["tokens"]} if budget else {}
+    found = topk_similar(notes, objectives, 15, block_bytes=block_bytes, start_tasks=1, **options)
+    if budget is None:
+        assert got(found) == brute(note_rows, objective_rows, 15)
+    else:
+        assert brute(note_rows, objective_rows, 15, budget=budget) <= got(found)
+
+
+def test_starting_bar_spares_rows(spark, monkeypatch):
+    """Of many tasks, a tenth of the rows leave the scan."""
+    leaving = []
+    keep_best = similarity._keep_best
+
+    def counted(df, *options):
+        leaving.append(df.count())
+        return keep_best(df, *options)
+
+    monkeypatch.setattr(similarity, "_keep_best", counted)
+    monkeypatch.setattr(similarity, "tasks_for", lambda df: 64)
+    vectors = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    notes = vectors.select(F.col("vec_id").alias("guid"), F.col("embedding").alias("emb")).repartition(64)
+    notes = similarity.materialise(notes, "notes")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(128 << 20))  # a task for each file
+    try:
+        asked = notes.filter("guid % 10 = 0").select(F.col("guid").alias("obj_id"), "emb")
+        plain = got(topk_similar(notes, asked, 20, start_tasks=None))
+        barred = got(topk_similar(notes, asked, 20, start_tasks=64))
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert plain == barred
+    assert leaving[-1] * 10 < leaving[0]
 
 
 def test_different_objectives_of_one_hash_stay_apart(spark, monkeypatch):
