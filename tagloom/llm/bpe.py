@@ -11,13 +11,12 @@ import gc
 import hashlib
 import json
 from array import array
-from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from tagloom.llm.common import by_document, id_text, table
+from tagloom.llm.common import by_document, id_text, kept, table
 
 #: How texts are cut before merging (the pattern of the public byte-level BPE).
 PIECES = (
@@ -186,12 +185,19 @@ class Bpe:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
-@lru_cache(maxsize=2)
+def _table(path: str) -> str:
+    return f"bpe {path}"
+
+
 def load(path: str) -> Bpe:
-    """The tokenizer of a file, kept by each worker."""
-    model = Bpe(path)
-    gc.freeze()  # the vocabulary and merges stay; no need to walk them at each collection
-    return model
+    """The tokenizer of a file, kept by each worker until another operator's task begins there."""
+
+    def read() -> Bpe:
+        model = Bpe(path)
+        gc.freeze()  # the vocabulary and merges stay; no need to walk them at each collection
+        return model
+
+    return kept(_table(path), read)
 
 
 def default_path() -> str:
@@ -213,7 +219,8 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id and `ids`, the token ids of every whole text."""
     path = path or default_path()
     return by_document(
-        id_text(docs), lambda: lambda text: (load(path).encode(text).tolist(),), "ids array<long>"
+        id_text(docs), lambda: lambda text: (load(path).encode(text).tolist(),), "ids array<long>",
+        holds=_table(path),
     )
 
 
@@ -254,7 +261,7 @@ def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
         return one
 
     schema = "n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return by_document(id_text(docs), row, schema)
+    return by_document(id_text(docs), row, schema, holds=_table(path))
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,6 +9,12 @@ probability below 1 - `recall`. Brute force compares 256-bit sketches and leaves
 forest of what looks similar; the clusters of that forest are then compared exactly, in blocks
 of bounded size, which counts each link once and never writes pairs.
 
+Splitting never thins out a bucket of near copies, which share all their tokens. So the sets of a
+large bucket are first compared with a few leaders out of it, and those that look like one join its
+family. If all but `limit` sets are of one family, the others meet every part of it by brute force
+and the bucket is done. Else it is split, and deeper buckets that hold one family alone are
+dropped: their sets are in one cluster already, whose links are all counted.
+
 Rules for odd input: words are runs of characters other than ASCII white space, in lower case;
 a text of one to four words is one shingle; null texts and texts without words link to nothing
 and are classes of their own; repeated rows are linked copies; a class is named by its smallest
@@ -26,10 +32,10 @@ from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import few_rows, id_text, table
+from tagloom.llm.common import few_rows, id_text, release, table
 from tagloom.session import materialise
 
 WORDS = 5
@@ -40,12 +46,18 @@ SHARED = 2.0
 LEVELS = 6
 #: Sets in a bucket that is compared by brute force, and in a block of exact comparison.
 LIMIT = 2048
-BLOCK = 768
+BLOCK = 2048
+#: Tokens of all the sets in such a block, on average.
+BLOCK_TOKENS = 1 << 19
+#: Sets of a large bucket that the others are first compared with.
+LEADERS = 16
 #: Bits of a sketch, and how many must agree; a pair at 0.8 agrees in 230 on average.
 SKETCH = 256
 AGREE = 196
-#: Node ids that may be broadcast, 16 bytes each.
-BROADCAST_ROWS = 500_000
+#: Bytes of numbers that may be broadcast.
+BROADCAST_BYTES = 8 << 20
+#: Rows of a block whose products are made at a time.
+STRIPE = 256
 #: Bytes of text that are hashed at a time.
 PART = 1 << 17
 
@@ -172,8 +184,12 @@ def choose(docs: DataFrame, similarity: float, runs: int) -> DataFrame:
     )
 
 
-def _small(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+def _small(df: DataFrame) -> DataFrame:
+    """The frame, marked for broadcast if its numbers, those in arrays included, are few."""
+    arrays = [F.sum(F.size(f.name)) for f in df.schema.fields if f.dataType.typeName() == "array"]
+    rows, *items = df.agg(F.count("*"), *arrays).first()
+    size = 8 * len(df.columns) * rows + 16 * sum(n or 0 for n in items)
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
 def with_tokens(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -190,38 +206,39 @@ def with_tokens(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     from pyspark.sql.types import BinaryType, StructField, StructType
 
-    joined = docs.join(_small(wanted, wanted.count()), "row").select(*names, "text")
+    joined = docs.join(_small(wanted), "row").select(*names, "text")
     fields = [*wanted.select(*names).schema.fields, StructField("tokens", BinaryType())]
     return joined.mapInArrow(run, StructType(fields))
 
 
 def split(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """path, node one level deeper, for the members (path, node) of large buckets."""
+    """path, node, family one level deeper, for the members (path, node, family) of large buckets."""
 
     def run(batches):
         for batch in few_rows(batches):
-            paths_out, nodes_out = [], []
-            for node, paths, raw in zip(*(c.to_pylist() for c in batch.columns)):
+            out: list[list[np.ndarray]] = [[], [], []]
+            for node, paths, families, raw in zip(*(c.to_pylist() for c in batch.columns)):
                 tokens = np.frombuffer(raw, np.uint64)
                 cut = _cut(len(tokens), similarity)
-                for path in np.array(paths, np.int64).view(np.uint64):
+                for path, family in zip(np.array(paths, np.int64).view(np.uint64), families):
                     hashed = mix(mix(tokens + path) ^ path)
                     chosen = mix(hashed[hashed < cut] + path)
-                    paths_out.append(chosen.view(np.int64))
-                    nodes_out.append(np.full(len(chosen), node, np.int64))
-            if paths_out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(paths_out)), pa.array(np.concatenate(nodes_out))],
-                    ["path", "node"],
-                )
+                    out[0].append(chosen.view(np.int64))
+                    out[1].append(np.full(len(chosen), node, np.int64))
+                    out[2].append(np.full(len(chosen), family, np.int64))
+            if out[0]:
+                columns = [pa.array(np.concatenate(c)) for c in out]
+                yield pa.RecordBatch.from_arrays(columns, ["path", "node", "family"])
 
-    per_node = members.groupBy("node").agg(F.collect_set("path").alias("paths"))
-    joined = per_node.join(sets, "node").select("node", "paths", "tokens")
-    return joined.mapInArrow(run, "path long, node long")
+    own = F.sort_array(F.collect_set(F.struct("path", "family")))
+    per_node = members.groupBy("node").agg(own.alias("own"))
+    joined = per_node.join(sets, "node").select("node", "own.path", "own.family", "tokens")
+    return joined.mapInArrow(run, "path long, node long, family long")
 
 
 def groups(batches, n_keys: int) -> Iterator[pa.Table]:
     """Runs of rows with equal first columns, from batches sorted by them."""
+    release()
     held: list[pa.RecordBatch] = []
     last = None
     for batch in batches:
@@ -241,6 +258,7 @@ def groups(batches, n_keys: int) -> Iterator[pa.Table]:
             held.append(batch.slice(a, b - a))
     if held:
         yield pa.Table.from_batches(held)
+    release()
 
 
 def _forest(size: int, like) -> Iterator[tuple[int, int]]:
@@ -257,24 +275,82 @@ def _forest(size: int, like) -> Iterator[tuple[int, int]]:
             rest = rest[~near]
 
 
-def brute_force(members: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
-    """a, b: a spanning forest of the sets that look similar, for each bucket (path, part)."""
+def _like_in(n: np.ndarray, bits: np.ndarray, similarity: float):
+    """A function that tells which of the sets `others` look similar to set i."""
+
+    def like(i, others):
+        low, high = np.minimum(n[i], n[others]), np.maximum(n[i], n[others])
+        differ = np.bitwise_count(bits[others] ^ bits[i]).sum(1)
+        return (low >= similarity * high) & (differ <= SKETCH - AGREE)
+
+    return like
+
+
+def _sketched(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The members with n and the four numbers of their sketch."""
+    narrow = nodes.select("node", "n", *[F.col("sketch")[i].alias(f"s{i}") for i in range(4)])
+    return members.join(narrow, "node")
+
+
+def _bits(group: pa.Table) -> np.ndarray:
+    return np.stack([group.column(f"s{i}").to_numpy() for i in range(4)], 1).view(np.uint64)
+
+
+def lead(large: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """The members (path, node, family, size, part) of large buckets, with their families found.
+
+    A few members of each bucket, by hash, lead it. One that is of no family yet (its own node)
+    and looks similar to a leader joins the leader's; `leader` then names the leader, for an edge.
+    Every part of a bucket meets copies of its leaders, so that no task holds a whole bucket.
+    """
+    parts = F.ceil(F.col("size") / F.lit(LIMIT)).cast("int")
+    rows = large.withColumn("part", F.pmod(F.xxhash64("node", F.lit(5)), parts).cast("long"))
+    place = F.row_number().over(Window.partitionBy("path").orderBy(F.xxhash64("node", "path"), "node"))
+    first = large.withColumn("place", place).filter(F.col("place") <= LEADERS)
+    first = first.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), (parts - 1).cast("long"))))
+    columns = ["path", "part", "place", "node", "family", "size"]
+    both = first.select(*columns).unionByName(rows.withColumn("place", F.lit(LEADERS + 1)).select(*columns))
+
+    def run(batches):
+        for group in groups(batches, 2):
+            place, node, family = (group.column(c).to_numpy() for c in ("place", "node", "family"))
+            led = int((place <= LEADERS).sum())
+            like = _like_in(group.column("n").to_numpy(), _bits(group), similarity)
+            family, leader = family.copy(), np.full(len(node), -1)
+            for i in range(led):
+                free = i + 1 + np.flatnonzero(family[i + 1 :] == node[i + 1 :])
+                free = free[node[free] != node[i]]
+                joining = free[like(i, free)] if len(free) else free
+                family[joining] = family[i]
+                leader[joining] = i
+            own = np.arange(led, len(node))
+            # A leader among the members takes what was found for its copy.
+            copy = {int(node[i]): i for i in range(led)}
+            for j in own[np.isin(node[own], node[:led])].tolist():
+                family[j], leader[j] = family[copy[int(node[j])]], leader[copy[int(node[j])]]
+            out = group.slice(led).select(["path", "node", "size", "part"])
+            out = out.append_column("family", pa.array(family[own]))
+            named = pa.array(node[leader[own]], pa.int64(), mask=leader[own] < 0)
+            yield from out.append_column("leader", named).combine_chunks().to_batches()
+
+    return (
+        _sketched(both, nodes)
+        .select(*columns, "n", "s0", "s1", "s2", "s3")
+        .repartition("path", "part")
+        .sortWithinPartitions("path", "part", "place", "node")
+        .mapInArrow(run, "path long, node long, size long, part long, family long, leader long")
+    )
 
-    def like_in(n, bits):
-        def like(i, others):
-            low, high = np.minimum(n[i], n[others]), np.maximum(n[i], n[others])
-            differ = np.bitwise_count(bits[others] ^ bits[i]).sum(1)
-            return (low >= similarity * high) & (differ <= SKETCH - AGREE)
 
-        return like
+def brute_force(members: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """a, b: a spanning forest of the sets that look similar, for each bucket (path, part)."""
 
     def run(batches):
         a, b = [], []
         for group in groups(batches, 2):
             node = group.column(2).to_numpy()
-            n = group.column(3).to_numpy()
-            bits = np.stack([group.column(4 + i).to_numpy() for i in range(4)], 1).view(np.uint64)
-            for i, j in _forest(len(node), like_in(n, bits)):
+            like = _like_in(group.column("n").to_numpy(), _bits(group), similarity)
+            for i, j in _forest(len(node), like):
                 a.append(node[i])
                 b.append(node[j])
             if len(a) > 100_000:
@@ -282,8 +358,7 @@ def brute_force(members: DataFrame, nodes: DataFrame, similarity: float) -> Data
                 a, b = [], []
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    narrow = nodes.select("node", "n", *[F.col("sketch")[i].alias(f"s{i}") for i in range(4)])
-    rows = members.join(narrow, "node").select("path", "part", "node", "n", "s0", "s1", "s2", "s3")
+    rows = _sketched(members, nodes).select("path", "part", "node", "n", "s0", "s1", "s2", "s3")
     return (
         rows.repartition("path", "part")
         .sortWithinPartitions("path", "part", "node")
@@ -292,13 +367,13 @@ def brute_force(members: DataFrame, nodes: DataFrame, similarity: float) -> Data
     )
 
 
-def _pair_parts(members: DataFrame, size: str, key: str, most: int) -> DataFrame:
-    """Deal large groups into parts, and send each row to every pair of parts that has its own.
+def _pair_parts(members: DataFrame, parts: Column) -> DataFrame:
+    """Deal large groups into `parts`, and send each row to every pair of parts that has its own.
 
     Adds `part`, the number of the pair, and `own`, whether a pair is of one part with itself
     (0) or which of its two parts the row is in (1, 2).
     """
-    n = F.ceil(F.col(size) / F.lit(most)).cast("int")
+    n = parts.cast("int")
     mine = F.pmod(F.xxhash64("node", F.lit(5)), n).cast("int")
     pairs = F.transform(
         F.sequence(F.lit(0), F.col("parts") - 1),
@@ -344,13 +419,14 @@ def components(edges: DataFrame) -> DataFrame:
 def exact_links(docs: DataFrame, clusters: DataFrame, similarity: float) -> DataFrame:
     """node, links, other: weights of linked nodes, and edges of a spanning forest of links.
 
-    `clusters` has row (one document of the node), node, n, label, size (sets in the cluster)
-    and w (documents of the node).
+    `clusters` has row (one document of the node), node, n, label, size and tokens (sets in the
+    cluster, and their tokens) and w (documents of the node).
     """
     ratio = Fraction(str(similarity))
     up, down = ratio.numerator, ratio.numerator + ratio.denominator
 
-    def common(raw: list[bytes], n: np.ndarray) -> np.ndarray:
+    def common(raw: list[bytes], n: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """left x right: tokens that two sets share."""
         tokens = np.frombuffer(b"".join(raw), np.uint64)
         row = np.repeat(np.arange(len(raw)), n)
         order = np.argsort(tokens, kind="stable")
@@ -360,27 +436,52 @@ def exact_links(docs: DataFrame, clusters: DataFrame, similarity: float) -> Data
         more = np.bincount(col)[col] > 1  # tokens of one set alone share nothing
         row, col = row[more], col[more]
         col = np.cumsum(np.concatenate([[False], col[1:] != col[:-1]])) if len(col) else col
-        out = np.zeros((len(raw), len(raw)), np.float32)
-        width = 2048
+        out = np.zeros((len(left), len(right)), np.float32)
+        width = 1024
         for first in range(0, int(col[-1]) + 1 if len(col) else 0, width):
             a, b = np.searchsorted(col, [first, first + width])
             seen = np.zeros((len(raw), width), np.float32)
             seen[row[a:b], col[a:b] - first] = 1
-            out += seen @ seen.T
+            others = seen[right].T
+            for at in range(0, len(left), STRIPE):
+                out[at : at + STRIPE] += seen[left[at : at + STRIPE]] @ others
         return out
 
+    def linked_in(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Two sides of a pair of parts (equal for one part with itself), and which sets are linked."""
+        own, n = group.column(2).to_numpy(), group.column(4).to_numpy()
+        left, right = np.flatnonzero(own < 2), np.flatnonzero(own != 1)
+        shared = common(group.column(6).to_pylist(), n, left, right)
+        linked = np.zeros(shared.shape, bool)
+        for at in range(0, len(left), STRIPE):
+            sizes = n[left[at : at + STRIPE], None] + n[None, right]
+            linked[at : at + STRIPE] = shared[at : at + STRIPE].astype(np.int64) * down >= up * sizes
+        if len(own) and own[0] == 0:
+            np.fill_diagonal(linked, False)
+        return left, right, linked
+
     def run(batches):
         out = []
         for group in groups(batches, 2):
-            own, node, n, w = (group.column(i).to_numpy() for i in range(2, 6))
-            shared = common(group.column(6).to_pylist(), n).astype(np.int64)
-            linked = shared * down >= up * (n[:, None] + n[None, :])
-            linked &= (own[:, None] != own[None, :]) | (own[:, None] == 0)
-            np.fill_diagonal(linked, False)
-            links = linked @ w
+            node, w = group.column(3).to_numpy(), group.column(5).to_numpy()
+            left, right, linked = linked_in(group)
+            links = np.zeros(len(node), np.int64)
+            links[left] = linked @ w[right]
+            if len(left) < len(node) or len(right) < len(node):
+                links[right] = w[left] @ linked
             for i in np.flatnonzero(links):
                 out.append((int(node[i]), int(links[i]), None))
-            for i, j in _forest(len(node), lambda i, others: linked[i, others]):
+            row_of, column_of = np.full(len(node), -1), np.full(len(node), -1)
+            row_of[left], column_of[right] = np.arange(len(left)), np.arange(len(right))
+
+            def like(i, others):
+                if row_of[i] >= 0:
+                    at = column_of[others]
+                    return (at >= 0) & linked[row_of[i], at]
+                at = row_of[others]
+                return (at >= 0) & linked[at, column_of[i]]
+
+            for i, j in _forest(len(node), like):
                 out.append((int(node[i]), 0, int(node[j])))
             if len(out) > 50_000:
                 yield _rows(out)
@@ -392,7 +493,8 @@ def exact_links(docs: DataFrame, clusters: DataFrame, similarity: float) -> Data
             [pa.array([r[i] for r in out], pa.int64()) for i in range(3)], ["node", "links", "other"]
         )
 
-    dealt = _pair_parts(clusters, "size", "label", BLOCK)
+    parts = F.greatest(F.ceil(F.col("size") / F.lit(BLOCK)), F.ceil(F.col("tokens") / F.lit(BLOCK_TOKENS)))
+    dealt = _pair_parts(clusters, F.least(parts, "size"))
     part = F.collect_list(F.struct("part", "own")).alias("parts")
     wanted = dealt.groupBy("row", "node", "n", "label", "w").agg(part)
     rows = with_tokens(docs, materialise(wanted, "wanted"))
@@ -427,27 +529,50 @@ def _classes(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RE
         ),
         "nodes",
     )
-    members = nodes.select(F.explode("paths").alias("path"), "node")
-    buckets, sets = [], None
+    members = nodes.select(F.explode("paths").alias("path"), "node", F.col("node").alias("family"))
+    buckets, edges, sets = [], [], None
     for level in range(LEVELS):
-        counts = members.groupBy("path").agg(F.count("*").alias("size")).filter("size > 1")
-        members = materialise(members.join(counts, "path"), "members")
-        last = level == LEVELS - 1
-        buckets.append(members if last else members.filter(F.col("size") <= LIMIT))
+        counts = members.groupBy("path").agg(
+            F.count("*").alias("size"), F.min("family").alias("low"), F.max("family").alias("high")
+        )
+        # Alone, or among one family, a set has nothing to find.
+        members = members.join(counts.filter("low < high").select("path", "size"), "path")
+        members = materialise(members, "members")
+        buckets.append(members.filter(F.col("size") <= LIMIT).select("path", F.lit(0).cast("long").alias("part"), "node"))
         large = members.filter(F.col("size") > LIMIT)
-        if last or large.isEmpty():
+        if large.isEmpty():
+            break
+        led = materialise(lead(large, nodes, similarity), "led")
+        edges.append(led.filter("leader IS NOT NULL").select(F.col("node").alias("a"), F.col("leader").alias("b")))
+        families = led.groupBy("path", "family").agg(F.count("*").alias("n"), F.first("size").alias("size"))
+        main = families.groupBy("path").agg(
+            F.max_by("family", F.struct("n", "family")).alias("main"),
+            (F.first("size") - F.max("n") <= LIMIT).alias("settled"),
+        )
+        led = materialise(led.drop("leader").join(main, "path"), "families")
+        parts = F.ceil(F.col("size") / F.lit(LIMIT)).cast("int")
+        everywhere = F.sequence(F.lit(0).cast("long"), (parts - 1).cast("long"))
+        meeting = F.when(F.col("family") == F.col("main"), F.array("part")).otherwise(everywhere)
+        settled = led.filter("settled")
+        buckets.append(settled.select("path", F.explode(meeting).alias("part"), "node"))
+        large = led.filter("NOT settled")
+        if large.isEmpty():
+            break
+        if level == LEVELS - 1:
+            buckets.append(_pair_parts(large.drop("part"), parts).select("path", "part", "node"))
             break
         if sets is None:
             wanted = large.select("node").distinct().join(nodes, "node")
             wanted = materialise(wanted.select("low.row", "node"), "wanted")
             sets = materialise(with_tokens(docs, wanted), "sets")
         members = materialise(split(large, sets, similarity), "split")
-    bucketed = _pair_parts(reduce(DataFrame.unionByName, buckets), "size", "path", LIMIT)
-    near = materialise(brute_force(bucketed, nodes, similarity), "near")
+    near = brute_force(reduce(DataFrame.unionByName, buckets), nodes, similarity)
+    near = materialise(reduce(DataFrame.unionByName, [near, *edges]), "near")
     label = components(near)
-    sizes = label.groupBy("label").agg(F.count("*").alias("size"))
     own = nodes.select("node", "w", "n", "low.row")
-    clusters = label.join(sizes, "label").join(own, "node")
+    clusters = label.join(own, "node")
+    sizes = clusters.groupBy("label").agg(F.count("*").alias("size"), F.sum("n").alias("tokens"))
+    clusters = clusters.join(sizes, "label")
     links = materialise(exact_links(docs, clusters, similarity), "links")
     classes = components(links.filter("other IS NOT NULL").select(F.col("node").alias("a"), F.col("other").alias("b")))
     n_links = links.groupBy("node").agg(F.sum("links").alias("links"))
@@ -484,7 +609,7 @@ def one_per_class(docs: DataFrame) -> DataFrame:
         )
     )
     lost = materialise(classes.filter("first <> row").select(F.col("row").alias("_row")), "lost")
-    kept = rows.join(_small(lost, lost.count()), "_row", "left_anti")
+    kept = rows.join(_small(lost), "_row", "left_anti")
     return kept.select(*docs.columns)
 
 

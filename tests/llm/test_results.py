@@ -77,6 +77,54 @@ def test_join_of_many_near_copies(spark, monkeypatch):
         assert got[i]["class_id"] <= i
 
 
+@pytest.mark.parametrize("levels", [1, 6])
+def test_families_that_share_a_passage(spark, monkeypatch, levels):
+    """Two families of near copies and many other texts meet in the buckets of one passage."""
+    monkeypatch.setattr(jaccard_join, "LIMIT", 16)
+    monkeypatch.setattr(jaccard_join, "BLOCK_TOKENS", 2000)
+    monkeypatch.setattr(jaccard_join, "LEADERS", 3)
+    monkeypatch.setattr(jaccard_join, "LEVELS", levels)
+    rng = np.random.default_rng(11)
+    passage = [f"p{i}" for i in range(40)]
+    made = []
+    for family in "ab":
+        base = [f"{family}{i}" for i in range(50)]
+        for i in range(70):
+            words = list(base)
+            for at in rng.choice(50, rng.integers(0, 3), replace=False):
+                words[at] = f"{family}x{i}_{at}"
+            made.append(" ".join(words[:25] + passage + words[25:]))
+    for i in range(60):
+        made.append(" ".join([f"y{i}_{k}" for k in range(int(rng.integers(2, 90)))] + passage))
+    texts = dict(enumerate(made))
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    links = brute_links(texts)
+    got = {r["doc_id"]: r for r in jaccard_join.join(df).collect()}
+    assert {i: r["n_links"] for i, r in got.items()} == {i: len(x) for i, x in links.items()}
+
+
+def test_recall_at_the_threshold(spark):
+    """Pairs whose similarity is between 0.8 and 0.82, each of texts of their own."""
+    rng = np.random.default_rng(9)
+    texts, wanted = {}, 0
+    for i in range(150):
+        n = int(rng.integers(60, 400))
+        words = [f"t{i}_{k}" for k in range(n)]
+        other = list(words)
+        for at in rng.permutation(n).tolist():
+            before, other[at] = other[at], f"c{i}_{at}"
+            a, b = ({tuple(x[k : k + 5]) for k in range(n - 4)} for x in (words, other))
+            if len(a & b) < 0.8 * len(a | b):
+                other[at] = before
+        a, b = ({tuple(x[k : k + 5]) for k in range(n - 4)} for x in (words, other))
+        assert 0.8 <= len(a & b) / len(a | b) < 0.86
+        texts |= {2 * i: " ".join(words), 2 * i + 1: " ".join(other)}
+        wanted += 1
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = jaccard_join.join(df).filter("n_links = 1").count()
+    assert found >= 0.999 * 2 * wanted
+
+
 def test_runs_reach_the_recall():
     assert jaccard_join.runs_for(1 - 1e-6) > jaccard_join.runs_for(0.9) >= 1
 
