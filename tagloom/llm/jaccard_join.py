@@ -261,11 +261,17 @@ def groups(batches, n_keys: int) -> Iterator[pa.Table]:
     release()
 
 
-def _forest(size: int, like) -> Iterator[tuple[int, int]]:
-    """Edges of a spanning forest; `like(i, others)` tells which others are similar to i."""
-    rest = np.arange(size)
-    while len(rest) > 1:
-        queue, rest = [rest[0]], rest[1:]
+def _forest(size: int, like, one: np.ndarray | None = None) -> Iterator[tuple[int, int]]:
+    """Edges of a spanning forest; `like(i, others)` tells which others are similar to i.
+
+    Those marked in `one` are in one tree from the start.
+    """
+    queue, rest = [], np.arange(size)
+    if one is not None:
+        queue, rest = np.flatnonzero(one).tolist(), np.flatnonzero(~one)
+    while len(rest):
+        if not queue:
+            queue, rest = [rest[0]], rest[1:]
         while queue and len(rest):
             i = queue.pop()
             near = like(i, rest)
@@ -299,13 +305,13 @@ def _bits(group: pa.Table) -> np.ndarray:
 def lead(large: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
     """The members (path, node, family, size, part) of large buckets, with their families found.
 
-    A few members of each bucket, by hash, lead it. One that is of no family yet (its own node)
+    A few members of each bucket, by a hash that is the same in all buckets, lead it. One that is of no family yet (its own node)
     and looks similar to a leader joins the leader's; `leader` then names the leader, for an edge.
     Every part of a bucket meets copies of its leaders, so that no task holds a whole bucket.
     """
     parts = F.ceil(F.col("size") / F.lit(LIMIT)).cast("int")
     rows = large.withColumn("part", F.pmod(F.xxhash64("node", F.lit(5)), parts).cast("long"))
-    place = F.row_number().over(Window.partitionBy("path").orderBy(F.xxhash64("node", "path"), "node"))
+    place = F.row_number().over(Window.partitionBy("path").orderBy(F.xxhash64("node"), "node"))
     first = large.withColumn("place", place).filter(F.col("place") <= LEADERS)
     first = first.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), (parts - 1).cast("long"))))
     columns = ["path", "part", "place", "node", "family", "size"]
@@ -343,14 +349,18 @@ def lead(large: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
 
 
 def brute_force(members: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
-    """a, b: a spanning forest of the sets that look similar, for each bucket (path, part)."""
+    """a, b: a spanning forest of the sets that look similar, for each bucket (path, part).
+
+    Members marked `known` are of one family, whose own edges are known.
+    """
 
     def run(batches):
         a, b = [], []
         for group in groups(batches, 2):
             node = group.column(2).to_numpy()
             like = _like_in(group.column("n").to_numpy(), _bits(group), similarity)
-            for i, j in _forest(len(node), like):
+            known = group.column("known").to_numpy() > 0
+            for i, j in _forest(len(node), like, known):
                 a.append(node[i])
                 b.append(node[j])
             if len(a) > 100_000:
@@ -358,7 +368,7 @@ def brute_force(members: DataFrame, nodes: DataFrame, similarity: float) -> Data
                 a, b = [], []
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    rows = _sketched(members, nodes).select("path", "part", "node", "n", "s0", "s1", "s2", "s3")
+    rows = _sketched(members, nodes).select("path", "part", "node", "n", "s0", "s1", "s2", "s3", "known")
     return (
         rows.repartition("path", "part")
         .sortWithinPartitions("path", "part", "node")
@@ -538,7 +548,8 @@ def _classes(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RE
         # Alone, or among one family, a set has nothing to find.
         members = members.join(counts.filter("low < high").select("path", "size"), "path")
         members = materialise(members, "members")
-        buckets.append(members.filter(F.col("size") <= LIMIT).select("path", F.lit(0).cast("long").alias("part"), "node"))
+        small = members.filter(F.col("size") <= LIMIT)
+        buckets.append(small.select("path", F.lit(0).cast("long").alias("part"), "node", F.lit(0).alias("known")))
         large = members.filter(F.col("size") > LIMIT)
         if large.isEmpty():
             break
@@ -547,19 +558,21 @@ def _classes(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RE
         families = led.groupBy("path", "family").agg(F.count("*").alias("n"), F.first("size").alias("size"))
         main = families.groupBy("path").agg(
             F.max_by("family", F.struct("n", "family")).alias("main"),
-            (F.first("size") - F.max("n") <= LIMIT).alias("settled"),
+            (F.first("size") - F.max("n")).alias("others"),
         )
         led = materialise(led.drop("leader").join(main, "path"), "families")
         parts = F.ceil(F.col("size") / F.lit(LIMIT)).cast("int")
         everywhere = F.sequence(F.lit(0).cast("long"), (parts - 1).cast("long"))
         meeting = F.when(F.col("family") == F.col("main"), F.array("part")).otherwise(everywhere)
-        settled = led.filter("settled")
-        buckets.append(settled.select("path", F.explode(meeting).alias("part"), "node"))
-        large = led.filter("NOT settled")
+        known = (F.col("family") == F.col("main")).cast("int").alias("known")
+        settled = led.filter(F.col("others").between(1, LIMIT))
+        buckets.append(settled.select("path", F.explode(meeting).alias("part"), "node", known))
+        large = led.filter(F.col("others") > LIMIT)
         if large.isEmpty():
             break
         if level == LEVELS - 1:
-            buckets.append(_pair_parts(large.drop("part"), parts).select("path", "part", "node"))
+            pairs = _pair_parts(large.drop("part"), parts)
+            buckets.append(pairs.select("path", "part", "node", F.lit(0).alias("known")))
             break
         if sets is None:
             wanted = large.select("node").distinct().join(nodes, "node")
