@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import few_rows, id_text, table
+from tagloom.llm.common import few_rows, id_text, numbered, table
 from tagloom.session import materialise
 
 WINDOW = 10
@@ -228,7 +228,7 @@ def blocks(benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_
 
 
 def _scan(docs: DataFrame, block: Block) -> DataFrame:
-    """docs: key struct, text. Adds n_words, items and spans of one block."""
+    """doc_id (any number that names the row), n_words, items and spans of one block."""
     sent = docs.sparkSession.sparkContext.broadcast(block)
 
     def run(batches):
@@ -255,22 +255,24 @@ def contamination(
 ) -> DataFrame:
     """doc_id, n_words, items (ids), spans (word ranges, disjoint and sorted), n_hit of each document."""
     texts = id_text(docs)
-    found = [_scan(texts, block) for block in blocks(benchmark, window, block_bytes)]
-    if len(found) == 1:
-        merged = found[0]
+    parts = list(blocks(benchmark, window, block_bytes))
+    if len(parts) == 1:
+        merged = _scan(texts, parts[0])
     else:
-        # Rows of one doc_id share their hits only if they share their text's size too.
-        words = found[0].select("doc_id", "n_words")
+        # Ids may be null or repeated, so blocks are brought together by numbers of the rows.
+        rows = numbered(texts)
+        named = rows.select(F.col("row").alias("doc_id"), "text")
+        found = [_scan(named, block) for block in parts]
+        words = found[0].select(F.col("doc_id").alias("row"), "n_words")
         hits = reduce(DataFrame.unionByName, [f.filter("size(spans) > 0") for f in found])
-        hits = materialise(hits, "hits").groupBy("doc_id", "n_words").agg(
+        hits = materialise(hits, "hits").groupBy(F.col("doc_id").alias("row")).agg(
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
             F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
         )
-        merged = words.join(hits, ["doc_id", "n_words"], "left").withColumns(
-            {
-                "items": F.coalesce("items", F.array().cast("array<string>")),
-                "spans": F.coalesce("spans", F.array().cast(SPAN)),
-            }
+        merged = rows.select("row", "doc_id").join(words, "row").join(hits, "row", "left").select(
+            "doc_id", "n_words",
+            F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+            F.coalesce("spans", F.array().cast(SPAN)).alias("spans"),
         )
     return merged.withColumn(
         "n_hit",

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import few_rows, id_text, release, table
+from tagloom.llm.common import few_rows, id_text, numbered, release, table
 from tagloom.session import materialise
 
 WORDS = 5
@@ -147,11 +147,6 @@ def _node(tokens: np.ndarray) -> int:
     return int(mix(total).view(np.int64)[0])
 
 
-def numbered(docs: DataFrame, name: str = "row") -> DataFrame:
-    """The rows with a number of their own, written once so that each keeps it."""
-    return materialise(docs.withColumn(name, F.monotonically_increasing_id()), "rows")
-
-
 def choose(docs: DataFrame, similarity: float, runs: int) -> DataFrame:
     """row, doc_id, n, node (hash of the set), paths (of the first level), sketch."""
 

@@ -8,8 +8,8 @@ to border, so its cost depends on no other word. Probabilities lie in one array
 leftover weight times the probability of its last three symbols. There are at most 2^24 keys.
 
 A text is rejected when its cross-entropy per symbol is further above the usual one of its
-language than `margin` times the largest excess on calibration rows, and also past the
-`FLOOR` part of the way from the usual one to that of symbols drawn at random.
+language than `margin` times what the worst of a thousand labelled rows is, measured on all of
+them, and also past the `FLOOR` part of the way from the usual one to that of symbols drawn at random.
 
 Rules for odd input: null texts and texts without a letter are `und` with score 0, rejected;
 whole texts are read, in slices cut at white space (a word over 200,000 letters is cut);
@@ -29,14 +29,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.llm.common import few_rows, held_out, table
+from tagloom.session import materialise
 
 ORDER = 4
 BITS = 6
 SYMBOLS = 1 << BITS
 HISTORIES = SYMBOLS ** (ORDER - 1)
 SLICE = 200_000
-#: Rows per language that the usual cross-entropy is measured on.
-CALIBRATION_ROWS = 500
+#: Share of a language's labelled rows that lie within the limit which `margin` then widens.
+WORST = 0.999
 FLOOR = 0.4
 UNKNOWN = "und"
 
@@ -224,19 +225,12 @@ def _unigram(second: np.ndarray) -> np.ndarray:
     return (np.maximum(seen - 0.5, 0) + 0.5 * kinds / SYMBOLS) / total
 
 
-def calibrate(model: Model, labelled: DataFrame, margin: float, rows: int) -> None:
-    """Set each language's limit of rejection from at most `rows` of its rows, the least by hash."""
-    from pyspark.sql import Window
+def calibrate(model: Model, labelled: DataFrame, margin: float) -> None:
+    """Set each language's limit of rejection from all of its rows, by two aggregations.
 
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    wanted = (
-        labelled.select("lang", "doc_id")
-        .withColumn("place", F.row_number().over(by_hash))
-        .filter(F.col("place") <= rows)
-        .select("doc_id")
-        .distinct()
-    )
-    limits = np.zeros((len(model.langs), 4))
+    The usual cost and its spread come first, then how far the worst of a thousand rows lies off:
+    a single row, junk or not, does not move the limit.
+    """
 
     def run(batches):
         for batch in few_rows(batches):
@@ -247,40 +241,43 @@ def calibrate(model: Model, labelled: DataFrame, margin: float, rows: int) -> No
                 [batch.column(0), pa.array(n), pa.array(own)], ["lang", "n", "cost"]
             )
 
-    measured = (
-        labelled.join(F.broadcast(wanted), "doc_id", "left_semi")
-        .select("lang", "text")
-        .mapInArrow(run, "lang string, n double, cost double")
-        .filter("n > 0")
-        .toArrow()
+    measured = labelled.select("lang", "text").mapInArrow(run, "lang string, n double, cost double")
+    measured = materialise(measured.filter("n > 0"), "costs")
+    usual = measured.groupBy("lang").agg(
+        (F.sum("cost") / F.sum("n")).alias("usual"), F.percentile_approx("n", 0.5).alias("half")
     )
-    names = measured.column("lang").to_numpy(zero_copy_only=False)
-    n, cost = measured.column("n").to_numpy(), measured.column("cost").to_numpy()
-    for i, lang in enumerate(model.langs):
-        own = names == lang
-        if not own.any():
-            limits[i] = (0, 0, 0, np.inf)
-            continue
-        size, each = n[own], cost[own] / n[own]
-        usual = cost[own].sum() / size.sum()
-        off = each - usual
-        by_length = np.sqrt(np.median(off**2 * size) / 0.455) + 1e-6  # median of chi-square(1)
-        spread = off[size >= np.median(size)].std() + 1e-6
-        most = (off / np.sqrt(spread**2 + by_length**2 / size)).max()
-        limits[i] = (usual, by_length, spread, max(6.0, margin * most))
+    off = measured.join(F.broadcast(usual), "lang").withColumn("off", F.col("cost") / F.col("n") - F.col("usual"))
+    spreads = off.groupBy("lang").agg(
+        # The median of a chi-square variable of one degree is 0.455.
+        (F.sqrt(F.percentile_approx(F.col("off") * F.col("off") * F.col("n"), 0.5) / 0.455) + 1e-6).alias("by_length"),
+        (F.coalesce(F.stddev_pop(F.when(F.col("n") >= F.col("half"), F.col("off"))), F.lit(0.0)) + 1e-6).alias("spread"),
+    )
+    far = F.col("off") / F.sqrt(F.col("spread") ** 2 + F.col("by_length") ** 2 / F.col("n"))
+    found = (
+        off.join(F.broadcast(spreads), "lang")
+        .groupBy("lang")
+        .agg(
+            *[F.first(c).alias(c) for c in ("usual", "by_length", "spread")],
+            F.percentile_approx(far, WORST, 100_000).alias("most"),
+        )
+        .collect()
+    )
+    limits = np.tile([0.0, 0.0, 0.0, np.inf], (len(model.langs), 1))
+    for r in found:  # a row for each language
+        limits[model.langs.index(r["lang"])] = (
+            r["usual"], r["by_length"], r["spread"], max(6.0, margin * r["most"])
+        )
     model.limits = limits
 
 
-def train(
-    docs: DataFrame, margin: float = 2.0, calibration_rows: int = CALIBRATION_ROWS
-) -> Model:
+def train(docs: DataFrame, margin: float = 2.0) -> Model:
     """Models from every row that has a language and is not held out."""
     labelled = docs.select("doc_id", "text", "lang").filter(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out()
     )
     model = build(ngram_counts(labelled).toArrow())
     if model.langs:
-        calibrate(model, labelled, margin, calibration_rows)
+        calibrate(model, labelled, margin)
     return model
 
 

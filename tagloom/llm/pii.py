@@ -57,6 +57,7 @@ AGAINST = r"version|\bv\.?$|isbn|order|build|figure|section|#$"
 #: Characters of context before a span, and matches that are added up in one run.
 CONTEXT = 24
 RUN = 1000
+PIECES = 300
 SPAN = "struct<kind: string, start: long, end: long, value: string, left: string, right: string>"
 
 
@@ -68,25 +69,76 @@ def _length(x: Column) -> Column:
     return F.length(x).cast("long")
 
 
+def _running(values: Column, zero: Column, op) -> Column:
+    """What `op` makes of the values before each place, in runs so that long arrays stay cheap."""
+
+    def whole(held: Column) -> Column:
+        def run(b: Column) -> Column:
+            before = F.aggregate(F.slice(held, F.lit(1), b * RUN), zero, op)
+            return F.slice(
+                F.aggregate(
+                    F.slice(held, b * RUN + 1, F.lit(RUN)),
+                    F.array(before),
+                    lambda a, x: F.concat(a, F.array(op(F.element_at(a, -1), x))),
+                ),
+                F.lit(1),
+                F.least(F.size(held) - b * RUN, F.lit(RUN)),
+            )
+
+        some = F.flatten(
+            F.transform(F.sequence(F.lit(0), ((F.size(held) - 1) / RUN).cast("int")), run)
+        )
+        return F.when(F.size(held) > 0, some).otherwise(F.array().cast("array<long>"))
+
+    return _bind(values, whole)
+
+
+def _greater(a: Column, b: Column) -> Column:
+    return F.greatest(a, b)
+
+
+def _less(a: Column, b: Column) -> Column:
+    return F.least(a, b)
+
+
 def _starts(steps: Column) -> Column:
-    """Sums of the steps before each place, in runs so that long arrays stay cheap."""
-    zero = F.lit(0).cast("long")
+    """Sums of the steps before each place."""
+    return _running(steps, F.lit(0).cast("long"), lambda a, x: a + x)
 
-    def run(b: Column) -> Column:
-        before = F.aggregate(F.slice(steps, F.lit(1), b * RUN), zero, lambda a, x: a + x)
-        return F.slice(
-            F.aggregate(
-                F.slice(steps, b * RUN + 1, F.lit(RUN)),
-                F.array(before),
-                lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x)),
+
+def _apart(base: Column, loose: Column) -> Column:
+    """The candidates that overlap no base span; both sides are sorted by start and gone through once."""
+    far = F.lit(1 << 62).cast("long")
+
+    def marked(spans: Column, of: int) -> Column:
+        return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(of).alias("of"), s.alias("span")))
+
+    def kept(both: Column) -> Column:
+        ends = F.transform(both, lambda x: F.when(x["of"] == 0, x["span"]["end"]).otherwise(F.lit(0).cast("long")))
+        starts = F.transform(F.reverse(both), lambda x: F.when(x["of"] == 0, x["start"]).otherwise(far))
+        return _bind(
+            F.struct(
+                _running(ends, F.lit(0).cast("long"), _greater).alias("upto"),
+                F.reverse(_running(starts, far, _less)).alias("next"),
+            ),
+            lambda near: F.transform(
+                F.filter(
+                    F.transform(
+                        both,
+                        lambda x, i: F.struct(
+                            ((x["of"] == 1) & (F.get(near["upto"], i) <= x["start"])
+                             & (F.get(near["next"], i) >= x["span"]["end"])).alias("free"),
+                            x["span"].alias("span"),
+                        ),
+                    ),
+                    lambda x: x["free"],
+                ),
+                lambda x: x["span"],
             ),
-            F.lit(1),
-            F.least(F.size(steps) - b * RUN, F.lit(RUN)),
         )
 
-    return F.flatten(
-        F.transform(F.sequence(F.lit(0), ((F.size(steps) - 1) / RUN).cast("int")), run)
-    )
+    both = F.array_sort(F.concat(marked(base, 0), marked(loose, 1)))
+    return F.when(F.size(loose) == 0, loose).otherwise(_bind(both, kept))
 
 
 def _digits(value: Column) -> Column:
@@ -147,7 +199,8 @@ def find(docs: DataFrame) -> DataFrame:
     """Add `base` and `loose`, the strict matches and the other candidates of every text."""
     text = F.coalesce("text", F.lit(""))
     number = text.rlike("[0-9]")
-    at = text.contains("(at)") | text.contains("[at]") | (text.contains(" at ") & text.contains(" dot "))
+    spoken = r" at [A-Za-z0-9-]{1,63}+(?: ?[\[(]dot[\])]| dot |\.)"
+    at = text.contains("(at)") | text.contains("[at]") | text.rlike(spoken)
     may = {"email": text.contains("@"), "ip": number, "card": number, "phone": text.contains("+")}
     may_loose = {"email": at, "ip": number & text.contains(":"), "card": number, "phone": number}
 
@@ -158,11 +211,7 @@ def find(docs: DataFrame) -> DataFrame:
     base = [strict(k) for k in KINDS]
     loose = [_matches(k, text, LOOSE[k], may_loose[k]) for k in KINDS]
     found = docs.withColumns({"base": F.concat(*base), "loose": F.concat(*loose)})
-    apart = F.filter(
-        "loose",
-        lambda c: ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])),
-    )
-    return materialise(found, "found").withColumn("loose", apart)
+    return materialise(found, "found").withColumn("loose", _apart(F.col("base"), F.col("loose")))
 
 
 def _per_kind(kind: Column, by_kind) -> Column:
@@ -334,31 +383,47 @@ def redact(docs: DataFrame) -> DataFrame:
         F.transform("spans", lambda s: F.struct(s["start"], s["end"], F.upper(s["kind"]).alias("kind")))
     )
     # Of overlapping spans, the first one stays and the rest of the others goes with it.
-    tops = F.transform(
-        "s",
-        lambda s, i: F.coalesce(F.array_max(F.transform(F.slice("s", F.lit(1), i), lambda t: t["end"])), F.lit(0)),
-    )
-    pieces = F.zip_with(
-        "s",
-        "top",
-        lambda s, top: F.when(
-            s["start"] >= top,
-            F.concat(
-                F.substring(F.col("text"), (top + 1).cast("int"), (s["start"] - top).cast("int")),
-                F.lit("<"), s["kind"], F.lit(">"),
-            ),
-        ).otherwise(""),
+    tops = _running(F.transform("s", lambda s: s["end"]), F.lit(0).cast("long"), _greater)
+    placed = F.zip_with(
+        "s", "top", lambda s, top: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), top.alias("top"))
     )
+
+    def cut(text: Column, start: Column, size: Column) -> Column:
+        return F.substring(text, (start + 1).cast("int"), size.cast("int"))
+
+    def run(b: Column) -> Column:
+        """The text up to the last span of a run, cut out once so that spans don't go through all of it."""
+        own = F.slice("placed", b * PIECES + 1, F.lit(PIECES))
+        first = F.get(own, F.lit(0))["top"]
+
+        def hidden(of: Column) -> Column:
+            return F.array_join(
+                F.transform(
+                    own,
+                    lambda s: F.when(
+                        s["start"] >= s["top"],
+                        F.concat(
+                            cut(of, s["top"] - first, s["start"] - s["top"]), F.lit("<"), s["kind"], F.lit(">")
+                        ),
+                    ).otherwise(""),
+                ),
+                "",
+            )
+
+        size = F.greatest(F.element_at(own, -1)["start"] - first, F.lit(0).cast("long"))
+        return _bind(cut(F.col("text"), first, size), hidden)
+
+    runs = F.sequence(F.lit(0), ((F.size("placed") - 1) / PIECES).cast("int"))
     last = F.greatest(F.coalesce(F.array_max(F.transform("s", lambda s: s["end"])), F.lit(0)), F.lit(0))
     tail = F.substring(F.col("text"), (last + 1).cast("int"), F.length("text"))
     hidden = F.when(F.size("s") == 0, F.col("text")).otherwise(
-        F.concat(F.array_join("pieces", ""), tail)
+        F.concat(F.array_join(F.transform(runs, run), ""), tail)
     )
     return (
         annotate(inner)
         .select("row", "text", spans.alias("s"))
         .withColumn("top", tops)
-        .withColumn("pieces", pieces)
+        .withColumn("placed", placed)
         .select(*[hidden.alias(c) if c == "text" else F.col(f"row.`{c}`") for c in columns])
     )
 

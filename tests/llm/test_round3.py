@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from compare import difference, duck
 
-from tagloom.llm import hard_negatives, periodic_runs, rule_ensemble
+from tagloom.llm import decontaminate, hard_negatives, language_id, periodic_runs, pii, rule_ensemble
 
 SF = "/root/testdata/sf0.001"
 
@@ -227,3 +227,67 @@ def test_labels_of_one_class_or_none(spark, odd_docs):
 def test_11_matches_sql(spark):
     sf = "/root/testdata/sf0.01"
     assert difference(hard_negatives.op11_hard_negatives(spark, sf), duck(sf), hard_negatives.ORACLE_SQL) is None
+
+
+# Rows that earlier forms left out or mixed up
+
+
+@pytest.mark.parametrize("block_bytes", [16 << 20, 40])
+def test_blocks_agree_on_null_and_repeated_ids(spark, block_bytes):
+    items = {"a": [f"a{i}" for i in range(12)], "b": [f"b{i}" for i in range(12)]}
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id string, text string")
+    a, b = (" ".join(w) for w in items.values())
+    rows = [(None, f"x {a}"), (None, f"x {b}"), (5, f"y {a}"), (5, f"y {b}"), (5, " ".join(["z"] * 13)), (6, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = decontaminate.contamination(docs, bench, block_bytes=block_bytes).collect()
+    found = sorted((r["doc_id"] or 0, r["n_words"], r["n_hit"], ",".join(r["items"])) for r in got)
+    assert found == [(0, 13, 12, "a"), (0, 13, 12, "b"), (5, 13, 0, ""), (5, 13, 12, "a"), (5, 13, 12, "b"), (6, 0, 0, "")]
+
+
+def test_spoken_addresses_do_not_hang_on_other_words(spark):
+    texts = ["write joe at mail.com", "write joe at mail.com and a dot b", "joe (at) mail (dot) com", "at home"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    loose = {r["doc_id"]: [s["value"] for s in r["loose"]] for r in pii.find(df).collect()}
+    assert loose == {0: ["joe at mail.com"], 1: ["joe at mail.com"], 2: ["joe (at) mail (dot) com"], 3: []}
+
+
+def test_redaction_of_a_hundred_thousand_spans(spark):
+    import time
+
+    each = 100_000
+    text = " \u00e4 ".join(f"a{i}@b.org" for i in range(each)) + " end"
+    short = "one x@y.org, 10.0.0.1 and +1 (212) 555-0100, end"
+    df = spark.createDataFrame([(1, text, 3), (2, short, 4), (3, None, 5)], "doc_id long, text string, spans int")
+    start = time.time()
+    got = {r["doc_id"]: r for r in pii.redact(df).collect()}
+    assert got[1]["text"] == " \u00e4 ".join(["<EMAIL>"] * each) + " end" and got[1]["spans"] == 3
+    assert got[2]["text"].startswith("one <EMAIL>, <IP> and <PHONE>") and got[3]["text"] is None
+    assert time.time() - start < 90
+
+
+def test_candidates_apart_from_base_spans(spark):
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(6)
+    rows = []
+    for i in range(200):
+        def spans(n):
+            starts = rng.integers(0, 300, n).tolist()
+            return [{"start": a, "end": a + int(rng.integers(1, 12))} for a in starts]
+        rows.append((i, spans(int(rng.integers(0, 12))), spans(int(rng.integers(0, 12)))))
+    kind = "array<struct<start: long, end: long>>"
+    df = spark.createDataFrame(rows, f"i int, base {kind}, loose {kind}")
+    got = df.select("i", pii._apart(F.col("base"), F.col("loose")).alias("kept")).collect()
+    for r, (_, base, loose) in zip(sorted(got), rows):
+        want = [c for c in loose if not any(b["start"] < c["end"] and c["start"] < b["end"] for b in base)]
+        assert sorted((s["start"], s["end"]) for s in r["kept"]) == sorted((c["start"], c["end"]) for c in want)
+
+
+def test_one_junk_row_does_not_move_the_limit(spark):
+    rng = np.random.default_rng(8)
+    words = ["".join(rng.choice(list("abcdefgh"), 4)) for _ in range(300)]
+    rows = [(i, " ".join(rng.choice(words, 40)), "en") for i in range(1500)]
+    plain = language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    junk = [(9000 + k, "zq xv " * 50, "en") for k in range(1)]
+    mixed = language_id.train(spark.createDataFrame(rows + junk, "doc_id long, text string, lang string"))
+    assert np.allclose(plain.limits[0][[0, 3]], mixed.limits[0][[0, 3]], rtol=0.1)
