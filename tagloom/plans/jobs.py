@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Collection
+from collections.abc import Collection, Sequence
 from functools import partial
 from typing import NamedTuple
 
@@ -15,15 +15,19 @@ from tagloom.functions.scores import normalise_reply, parse_score
 from tagloom.functions.text import token_count, with_token_count
 from tagloom.functions.text import token_filter as filter_by_tokens
 from tagloom.operators import inference, objectives as obj, walk
-from tagloom.operators.assign import overlap_report, tag_notes, tag_report
+from tagloom.operators.assign import overlap_report, tag_notes, write_and_count
 from tagloom.operators.similarity import check_dims, objective_id, topk_similar, with_objective_id
 from tagloom.params import Chat, ChatParams, Embedder, EmbedParams, Params, SelectParams, Tokenizer
 from tagloom.session import is_scan, materialise, spread, tasks_for
 from tagloom.sources import writers
+from tagloom.sources.readers import read_largest
 
 # Most key hashes that are broadcast; each takes some 16 bytes on an executor.
 BROADCAST_KEYS = 8 << 20
 
+# Most characters that a token of a user's tokenizer is taken to stand for.
+MAX_TOKEN_CHARS = 256
+
 STAGES = ("embed", "objectives", "select", "tag")
 
 
@@ -63,21 +67,22 @@ def make_objectives(
     embed_on: str = "raw",
     drop_empty: bool = False,
     tokenizer: Tokenizer | None = None,
+    max_token_chars: int = MAX_TOKEN_CHARS,
 ) -> Objectives:
     """Embedded objectives of every document, and the documents without: too long or failed.
 
     A document fails when its reply or the vector of one of its objectives could
     not be had; none of its objectives is given out, so that a rerun makes all.
     Token counts and vectors come from the line as generated unless `embed_on`
-    is "clean". Replies are materialised, so the chat model runs once. With a
-    `tokenizer` a document is measured after it was assembled; without one, the
-    too long ones are found from their pages and never assembled.
+    is "clean". Replies are materialised, so the chat model runs once. Documents
+    too long for a prompt are found from their pages and never assembled. With a
+    `tokenizer`, of whose tokens none stands for more than `max_token_chars`
+    characters, those that may fit are assembled and measured whole.
     """
     if embed_on not in ("raw", "clean"):
         raise ValueError(f"unknown embed_on {embed_on!r}")
     limits = params.chat.max_tokens, params.chat.buffer
-    if tokenizer is None:
-        pages, too_long = obj.split_by_length(pages, *limits)
+    pages, too_long = obj.split_by_length(pages, *limits, None if tokenizer is None else max_token_chars)
     documents = obj.assemble_text(pages).withColumn("prompt", prompts.generation_prompt("text"))
     if tokenizer is None:
         documents = documents.withColumn("prompt_tokens", prompts.prompt_tokens("prompt"))
@@ -87,7 +92,8 @@ def make_objectives(
         counted = materialise(counted.drop("prompt_text", "text"), "documents")
         fits = prompts.fits_strict("prompt_tokens", *limits)
         documents = counted.filter(fits)
-        too_long = counted.filter(~fits).select("name", F.col("prompt_tokens").alias("text_tokens"))
+        measured = counted.filter(~fits).select("name", F.col("prompt_tokens").cast("long").alias("text_tokens"))
+        too_long = too_long.unionByName(measured)
     too_long = too_long.select("name", "text_tokens")
     left = prompts.remaining_tokens("prompt_tokens", *limits)
     documents = documents.select("name", "prompt", left.alias("completion_tokens"))
@@ -353,6 +359,7 @@ def run_all(
     notes: DataFrame | None = None,
     pages: DataFrame | None = None,
     note_table: DataFrame | None = None,
+    note_tables: Sequence[str] = (),
     params: Params = Params(),
     skip: Collection[str] = (),
     tokenizer: Tokenizer | None = None,
@@ -373,6 +380,9 @@ def run_all(
     Inputs are checked before any stage starts. Returns the tagged note table,
     or None where the last stage is skipped.
 
+    Instead of a `note_table`, `note_tables` may name candidates: the readable one
+    with most notes is tagged, the first listed among equals.
+
     A `tokenizer`, with `min_prompt_tokens`, counts for all limits of all stages; a
     folder should see one counter only. The other options are those of
     `make_objectives` and `candidate_pairs`.
@@ -382,6 +392,8 @@ def run_all(
     unknown = set(skip) - set(STAGES)
     if unknown:
         raise ValueError(f"unknown stages: {sorted(unknown)}")
+    if note_table is None and note_tables and "tag" not in skip:
+        _, note_table = read_largest(spark, note_tables)
     tables = {name: f"{folder.rstrip('/')}/{name}" for name in ("notes", "objectives", "ratings", "tagged")}
     _require(spark, skip, tables, notes=notes, pages=pages, note_table=note_table)
 
@@ -403,13 +415,10 @@ def run_all(
         return None
     tagged = tag_notes(note_table, spark.read.parquet(tables["ratings"]), params.tag)
     version = f"{tables['tagged']}/{uuid.uuid4().hex}"
-    tagged.write.parquet(version)
+    report = write_and_count(tagged, version)
     ratings = spark.read.parquet(tables["ratings"])
-    for name, report in (
-        ("overlap", overlap_report(ratings, note_table)),
-        ("tagged", tag_report(spark.read.parquet(version))),
-    ):
-        report.write.mode("overwrite").parquet(f"{folder.rstrip('/')}/reports/{name}")
+    for name, found in (("overlap", overlap_report(ratings, note_table)), ("tagged", report)):
+        found.write.mode("overwrite").parquet(f"{folder.rstrip('/')}/reports/{name}")
     return spark.read.parquet(version)
 
 

@@ -255,6 +255,8 @@ ORACLE = {
   generate_subscripts(embedding, 1) - 1 as pos, unnest(embedding)::double as value from embeddings""",
     "fill_scores": RATED + f"select tag, objective, guid, coalesce(score, 0) as score from {EACH}",
     "scan_documents": "select source as name, unnest(string_split(text, chr(10))) as text from documents",
+    "scan_pages": """select 'lecture_' || conv_id as name,
+  row_number() over (partition by conv_id order by turn) - 1 as page_no, text from conversations""",
     "path_stem": f"select page_id, regexp_extract(url, '{fixed.STEM_PATTERN}', 1) as stem from pages",
     "assemble_text": with_(DOCUMENT)
     + f"select name, text from doc where {tokens('text')} + {generation_fixed_tokens()} "
@@ -264,6 +266,7 @@ ORACLE = {
     "resume_anti": """select doc_id, source from documents d
 where not exists (select 1 from labels l where l.doc_id = d.doc_id)""",
     "incremental_stream": RATED + f"select tag, objective, guid, rank, gpt_reply, score from {EACH}",
+    "once_only_stream": RATED + "select tag, objective, guid, rank, gpt_reply, score from rated",
     "largest_source": """select source, count(*) as notes from documents
 group by source order by notes desc, source limit 1""",
     "token_count": f"select doc_id, {tokens('text')} as tokens from documents",
@@ -353,3 +356,4 @@ from rated, (select count(*) as n, count(distinct doc_id) as g from documents) c
     )
     + "select id, guid, tags, tagged from tagged",
 }
+ORACLE["flagship_files"] = ORACLE["flagship"]

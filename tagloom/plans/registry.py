@@ -174,7 +174,20 @@ def scan_documents(spark, sf_dir):
     path = new_folder(spark, "documents")
     docs = table(spark, sf_dir, "documents").select("source", F.col("text").alias("value"))
     docs.write.partitionBy("source").text(path)
-    return readers.scan_documents(spark, path)
+    return readers.scan_documents(spark, path, recursive=True)
+
+
+def _page_files(spark, sf_dir) -> str:
+    """A folder with a file of pages for every conversation."""
+    path = new_folder(spark, "page-files")
+    pages = pages_view(spark, sf_dir).repartition("name").sortWithinPartitions("name", "page_no")
+    pages = pages.select("name", F.col("text").alias("value"))
+    pages.write.option("lineSep", "\f").partitionBy("name").text(path)
+    return path
+
+
+def scan_pages(spark, sf_dir):
+    return readers.scan_pages(spark, _page_files(spark, sf_dir), recursive=True)
 
 
 def path_stem(spark, sf_dir):
@@ -226,8 +239,21 @@ def incremental_stream(spark, sf_dir):
     )
 
 
+def _candidates(spark, sf_dir) -> list[str]:
+    """Paths of a note table for every source, and of one that is none."""
+    path = new_folder(spark, "candidates")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    note_table_view(spark, sf_dir).join(
+        docs.withColumnRenamed("doc_id", "id"), "id"
+    ).write.partitionBy("source").parquet(path)
+    found = sorted(r["source"] for r in docs.select("source").distinct().collect())
+    return [f"{path}/missing", *(f"{path}/source={name}" for name in found)]
+
+
 def largest_source(spark, sf_dir):
-    return readers.largest_candidate(table(spark, sf_dir, "documents"), "source")
+    """The candidate with most notes, by its source."""
+    path, notes = readers.read_largest(spark, _candidates(spark, sf_dir))
+    return notes.agg(F.count("*").alias("notes")).select(F.lit(path.rpartition("=")[2]).alias("source"), "notes")
 
 
 # --- texts -----------------------------------------------------------------
@@ -599,11 +625,49 @@ def flagship(spark, sf_dir):
     return tagged.withColumn("tagged", F.col("tagged").cast("int"))
 
 
+def flagship_files(spark, sf_dir):
+    """The same from files: an export, a folder of page files, and the larger of two note tables."""
+    export, tables = new_folder(spark, "export"), [new_folder(spark, "note-table") for _ in range(2)]
+    notes = notes_view(spark, sf_dir)
+    notes.select(F.concat_ws("\t", quoted("guid"), quoted("card")).alias("value")).write.text(export)
+    known = note_table_view(spark, sf_dir)
+    known.filter("id % 2 = 0").write.parquet(tables[0])
+    known.write.parquet(tables[1])
+    tagged = jobs.run_all(
+        spark, new_folder(spark, "run"),
+        judge=inference.Judge(HashJudge()), chat=EchoGenerator(), embedder=HashingEmbedder(),
+        notes=readers.scan_notes(spark, export),
+        pages=readers.scan_pages(spark, _page_files(spark, sf_dir), recursive=True),
+        note_tables=tables,
+    )
+    return tagged.withColumn("tagged", F.col("tagged").cast("int"))
+
+
+def once_only_stream(spark, sf_dir):
+    """Rate objectives of which all arrive twice, in two runs of one stream."""
+    source, out, checkpoint = (new_folder(spark, n) for n in ("arrivals", "rated", "stream"))
+    notes = writers.write_once(embedded_notes(spark, sf_dir), new_folder(spark, "notes"))
+    arrivals = materialise(embedded_objectives(spark, sf_dir), "arrivals")
+
+    def rate(batch):
+        pairs = jobs.candidate_pairs(notes, batch, unique_guid=True)
+        return jobs.rate_and_cut(pairs, inference.Judge(HashJudge()))
+
+    for _ in range(2):
+        arrivals.write.mode("append").parquet(source)
+        incremental.run_available(
+            spark, source, arrivals.schema, rate, out, checkpoint, once=["name", "learning_objective"]
+        )
+    return incremental.read_results(spark, out).select(
+        "tag", "objective", "guid", "rank", "gpt_reply", "score"
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
-        scan_notes, scan_notes_inline, scan_vectors, scan_objectives, fill_scores, scan_ratings_csv, scan_documents, path_stem, assemble_text,
-        write_once, append_new, resume_anti, incremental_stream, largest_source,
+        scan_notes, scan_notes_inline, scan_vectors, scan_objectives, fill_scores, scan_ratings_csv, scan_documents, scan_pages, path_stem, assemble_text,
+        write_once, append_new, resume_anti, incremental_stream, once_only_stream, largest_source,
         token_count, token_filter, truncate_text,
         split_lines, clean_objective, objective_filter, objective_counts,
         rating_prompt, generation_prompt, budget_strict, budget_clamped, parse_score,
@@ -612,6 +676,6 @@ QUERIES = {
         embed_texts, embed_retry, embed_failures, embed_notes_job, generate_failures, rate_failures,
         make_objectives, make_objectives_rejected, judge_pairs, judge_ladder,
         best_per_note, best_per_note_and_tag, relevance_bucket,
-        guid_overlap, overlap_report, tag_notes, tag_report, flagship,
+        guid_overlap, overlap_report, tag_notes, tag_report, flagship, flagship_files,
     )
 }

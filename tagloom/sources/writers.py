@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
     """The Parquet table at a path, or None when nothing was written there yet."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(place):
+        return None
     try:
         return spark.read.parquet(path)
     except AnalysisException as e:

@@ -368,3 +368,48 @@ def test_a_python_model_before_the_notes_runs_once(spark, tables):
     notes = note_df.select("guid", "card", F.lit(3).alias("tokens"), embed("card").alias("emb"))
     jobs.candidate_pairs(notes, objectives).count()
     assert calls.value == note_df.count()
+
+
+def test_no_task_assembles_a_document_above_the_limit(spark):
+    """With a tokenizer and without: the long document, a third of all pages, is told from its counts."""
+    long = [("long", i, "word " * 50) for i in range(40)] + [(None, i, "word " * 50) for i in range(40)]
+    pages = spark.createDataFrame(long + [(f"d{i}", 0, f"Why is {i}") for i in range(40)], "name string, page_no long, text string")
+    params = Params(chat=ChatParams(max_tokens=1000, buffer=100))
+    longest = spark.sparkContext.accumulator(0)
+
+    def tokenizer(texts):
+        from tagloom.backends import TOKEN
+
+        longest.add(sum(len(t) > 5000 for t in texts))
+        return [len(TOKEN.findall(t)) for t in texts]
+
+    plain = jobs.make_objectives(pages, EchoGenerator(), HashingEmbedder(), params)
+    exact = jobs.make_objectives(
+        pages, EchoGenerator(), HashingEmbedder(), params, tokenizer=tokenizer, max_token_chars=5
+    )
+    assert rows(plain.made.select("name", "learning_objective")) == rows(exact.made.select("name", "learning_objective"))
+    assert {r["name"] for r in plain.too_long.collect()} == {r["name"] for r in exact.too_long.collect()} == {"long", None}
+    assert longest.value == 0
+    kept, _ = obj.split_by_length(pages, 1000, 100)
+    text = kept._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text and "LeftAnti" in text
+
+
+def test_report_is_counted_while_tags_are_written(spark):
+    tagged = spark.createDataFrame([(1, "a", " x", True), (2, "b", " y", False)], "id long, guid string, tags string, tagged boolean")
+    path = new_folder(spark, "tagged")
+    assert [tuple(r) for r in assign.write_and_count(tagged, path).collect()] == [(2, 1)]
+    assert rows(assign.tag_report(spark.read.parquet(path))) == [(2, 1)]
+
+
+def test_a_stream_forgets_what_comes_again(spark):
+    source, out, checkpoint = (new_folder(spark, n) for n in ("source", "out", "checkpoint"))
+    schema = "name string, x int"
+    for rows_ in ([("a", 1), ("a", 1), (None, 2)], [("a", 3), ("b", 4)], [(None, 5), ("b", 6), ("c", 7)]):
+        spark.createDataFrame(rows_, schema).coalesce(1).write.mode("append").parquet(source)
+        incremental.run_available(
+            spark, source, spark.createDataFrame([], schema).schema, lambda df: df, out, checkpoint, once=["name"]
+        )
+    assert sorted(map(str, [tuple(r) for r in incremental.read_results(spark, out).collect()])) == [
+        "('a', 1)", "('b', 4)", "('c', 7)", "(None, 2)",
+    ]

@@ -119,3 +119,21 @@ def test_csv_round_trip(spark):
     )
     writers.export_csv(table, path)
     assert rows(readers.scan_vectors(spark, path)) == rows(table)
+
+
+def test_pages_of_large_files_keep_their_order(spark, tmp_path):
+    (tmp_path / "below").mkdir()
+    (tmp_path / "below" / "c.txt").write_text("not read")
+    want = []
+    for name in ("year=2020", "b"):
+        pages = [f"{name} page {i}\nwith lines" for i in range(60)]
+        (tmp_path / f"{name}.txt").write_text("\f".join(pages))
+        want += [(name, i, page) for i, page in enumerate(pages)]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "101")
+    try:
+        assert rows(readers.scan_pages(spark, str(tmp_path))) == sorted(want)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert {r["name"] for r in readers.scan_pages(spark, str(tmp_path), recursive=True).collect()} == {"year=2020", "b", "c"}
+    named = spark.range(1).select(readers.document_name(F.lit("/x/year=2020/b.txt")), readers.document_name(F.lit("/x/name=n 1/part-00000-1a.c000.txt")))
+    assert tuple(named.first()) == ("b", "n 1")
