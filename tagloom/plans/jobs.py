@@ -15,7 +15,7 @@ from tagloom.functions.scores import normalise_reply, parse_score
 from tagloom.functions.text import token_count, with_token_count
 from tagloom.functions.text import token_filter as filter_by_tokens
 from tagloom.operators import inference, objectives as obj, walk
-from tagloom.operators.assign import overlap_report, tag_notes, write_and_count
+from tagloom.operators.assign import overlap_report, tag_notes, with_objective_order, write_and_count
 from tagloom.operators.similarity import check_dims, objective_id, topk_similar, with_objective_id
 from tagloom.params import Chat, ChatParams, Embedder, EmbedParams, Params, SelectParams, Tokenizer
 from tagloom.session import is_scan, materialise, spread, tasks_for
@@ -53,7 +53,7 @@ def embed_notes(
 class Objectives(NamedTuple):
     """What `make_objectives` gives: rows, and the names of documents by what became of them."""
 
-    made: DataFrame
+    made: DataFrame  # name, learning_objective, tokens, emb, line_no
     too_long: DataFrame  # name, text_tokens
     failed: DataFrame  # name, error
     asked: DataFrame  # name
@@ -110,12 +110,12 @@ def make_objectives(
         batch_size=params.embed.batch_size, max_tokens=params.embed.truncate_tokens,
         attempts=params.embed.attempts, wait=params.embed.wait,
     )
-    embedded = materialise(embedded.select(*schemas.OBJECTIVES.names, "emb_error"), "embedded")
+    embedded = materialise(embedded.select(*schemas.OBJECTIVES.names, "line_no", "emb_error"), "embedded")
     no_vector = embedded.groupBy("name").agg(F.min("emb_error").alias("error")).filter("error IS NOT NULL")
     no_reply = asked.filter("reply_error IS NOT NULL").select("name", F.col("reply_error").alias("error"))
     failed = no_reply.unionByName(no_vector)
     made = embedded.drop("emb_error").join(no_vector.select("name"), "name", "left_anti")
-    return Objectives(made.select(*schemas.OBJECTIVES.names), too_long, failed, asked.select("name"))
+    return Objectives(made.select(*schemas.OBJECTIVES.names, "line_no"), too_long, failed, asked.select("name"))
 
 
 def candidate_pairs(
@@ -330,7 +330,8 @@ def objectives_new(
     """Make the objectives of documents that are not done yet and append them.
 
     `path`-documents names every document that needs no further call: done
-    (also without a single objective) or too long. Failed ones go to
+    (also without a single objective) or too long. Objectives get ordinals, by
+    document and line within a run and on from the runs before. Failed ones go to
     `path`-failed and stay open. A document's rows come before its name, and
     rows without a name are found again by it, so nothing is made twice.
     """
@@ -339,7 +340,7 @@ def objectives_new(
     fresh = writers.not_done(pages, named, ["name"])
     fresh = writers.not_done(fresh, writers.read_if_exists(spark, path), ["name"])
     found = make_objectives(fresh, chat, embedder, params, **options)
-    found.made.write.mode("append").parquet(path)
+    writers.append_ordered(found.made, path, ["name", "line_no"])
     done = found.asked.join(found.failed.select("name"), "name", "left_anti")
     names = done.withColumn("status", F.lit("done")).unionByName(
         found.too_long.select("name", F.lit("too long").alias("status"))
@@ -413,10 +414,13 @@ def run_all(
         )
     if "tag" in skip:
         return None
-    tagged = tag_notes(note_table, spark.read.parquet(tables["ratings"]), params.tag)
+    ratings = spark.read.parquet(tables["ratings"])
+    asked = writers.read_if_exists(spark, tables["objectives"])
+    if asked is not None and "ordinal" in asked.columns:
+        ratings = with_objective_order(ratings, asked)
+    tagged = tag_notes(note_table, ratings, params.tag)
     version = f"{tables['tagged']}/{uuid.uuid4().hex}"
     report = write_and_count(tagged, version)
-    ratings = spark.read.parquet(tables["ratings"])
     for name, found in (("overlap", overlap_report(ratings, note_table)), ("tagged", report)):
         found.write.mode("overwrite").parquet(f"{folder.rstrip('/')}/reports/{name}")
     return spark.read.parquet(version)

@@ -335,8 +335,13 @@ where {tokens('text')} + {generation_fixed_tokens()} > {r.SMALL_LIMIT} - 2 * {r.
     + "select tag, objective, guid, first_reply as reply from judged",
     "judge_ladder": with_(NOTES, OBJECTIVES, PAIRS, JUDGED)
     + "select tag, objective, guid, gpt_reply, attempts, score from judged",
-    "best_per_note": RATED.rstrip() + "," + best("guid")
-    + " select guid, tag, objective, coalesce(score, 0) as score, rank from best",
+    "best_per_note": RATED.rstrip()
+    + """,
+place as (select tag, objective, row_number() over (order by item_id % 2, item_id) - 1 as ordinal
+  from (select item_id, 'lecture_' || substr(md5(text), 1, 1) as tag, text as objective from benchmark)),
+best as (select *, row_number() over (partition by guid order by coalesce(score, 0) desc, ordinal, rank) as nth
+  from rated join (select tag, objective, min(ordinal) as ordinal from place group by all) using (tag, objective))
+select guid, tag, objective, coalesce(score, 0) as score, rank, ordinal from best where nth = 1""",
     "best_per_note_and_tag": RATED.rstrip() + "," + best("guid, tag")
     + " select guid, tag, objective, coalesce(score, 0) as score, rank from best",
     "relevance_bucket": RATED + f"select tag, objective, guid, score, {SUFFIX} as suffix from {EACH}",

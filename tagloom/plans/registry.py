@@ -52,8 +52,9 @@ def note_table_view(spark, sf_dir):
     )
 
 
-def objective_texts(spark, sf_dir):
+def objective_texts(spark, sf_dir, *more):
     return table(spark, sf_dir, "benchmark").select(
+        *more,
         F.concat(F.lit("lecture_"), F.substring(F.md5("text"), 1, 1)).alias("name"),
         F.col("text").alias("learning_objective"),
     )
@@ -579,9 +580,20 @@ def judge_ladder(spark, sf_dir):
 # --- tags ------------------------------------------------------------------
 
 
+def _ordered_objectives(spark, sf_dir):
+    """The objectives, appended to a table in two runs, those of even ids first."""
+    path = new_folder(spark, "ordered")
+    asked = objective_texts(spark, sf_dir, "item_id")
+    for rest in (0, 1):
+        writers.append_ordered(asked.filter(F.col("item_id") % 2 == rest), path, ["item_id"])
+    return spark.read.parquet(path)
+
+
 def best_per_note(spark, sf_dir):
-    best = assign.best_per_note(ratings(spark, sf_dir), sort=True)
-    return best.select("guid", "tag", "objective", "score", "rank")
+    """The best row of every note; of equal ones that of the first objective in its table."""
+    ordered = assign.with_objective_order(ratings(spark, sf_dir), _ordered_objectives(spark, sf_dir))
+    best = assign.best_per_note(ordered, order=assign.TABLE_ORDER, sort=True)
+    return best.select("guid", "tag", "objective", "score", "rank", "ordinal")
 
 
 def best_per_note_and_tag(spark, sf_dir):

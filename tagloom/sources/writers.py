@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+
+from tagloom.session import materialise
 
 
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
@@ -55,6 +57,33 @@ def append_new(
     return df.sparkSession.read.parquet(path)
 
 
+def append_ordered(df: DataFrame, path: str, order: Sequence[str]) -> DataFrame:
+    """Append rows with an `ordinal` of their own, then read the table.
+
+    Ordinals are dense: 0, 1, ... in the given order within an append, and each append goes on
+    where the one before ended. Tasks count their rows and the counts before are added up, so no
+    task sees all rows.
+    """
+    spark = df.sparkSession
+    existing = read_if_exists(spark, path)
+    offset = 0
+    if existing is not None:
+        last = F.max("ordinal") if "ordinal" in existing.columns else F.count("*") - 1
+        found = existing.agg(last).first()[0]
+        offset = 0 if found is None else found + 1
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    held = materialise(ranged.withColumns({"_part": F.spark_partition_id(), "_place": place}), "ordered")
+    counts = held.groupBy("_part").agg(F.count("*").alias("n"))
+    # A row per task.
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    base = counts.select("_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_base"))
+    ordinal = (F.lit(offset).cast("long") + F.col("_base") + F.col("_place")).alias("ordinal")
+    rows = held.join(F.broadcast(base), "_part").select(*df.columns, ordinal)
+    rows.write.mode("append").parquet(path)
+    return spark.read.parquet(path)
+
+
 def export_csv(df: DataFrame, path: str) -> None:
     """Write a table as CSV with a header, vectors in their text form `[a, b]`."""
     columns = [

@@ -137,3 +137,13 @@ def test_pages_of_large_files_keep_their_order(spark, tmp_path):
     assert {r["name"] for r in readers.scan_pages(spark, str(tmp_path), recursive=True).collect()} == {"year=2020", "b", "c"}
     named = spark.range(1).select(readers.document_name(F.lit("/x/year=2020/b.txt")), readers.document_name(F.lit("/x/name=n 1/part-00000-1a.c000.txt")))
     assert tuple(named.first()) == ("b", "n 1")
+
+
+def test_ordinals_stay_dense_over_appends(spark):
+    path = new_folder(spark, "ordered")
+    first = spark.range(100).select((99 - F.col("id")).alias("k"), F.lit("a").alias("x")).repartition(7)
+    second = spark.range(200, 230).select(F.col("id").alias("k"), F.lit("b").alias("x")).repartition(3)
+    writers.append_ordered(first, path, ["k"])
+    writers.append_ordered(first.limit(0), path, ["k"])
+    found = writers.append_ordered(second, path, ["k"])
+    assert rows(found.select("ordinal", "k")) == [*zip(range(100), range(100)), *zip(range(100, 130), range(200, 230))]
