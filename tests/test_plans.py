@@ -46,7 +46,9 @@ def test_tokens_are_counted_once(spark):
 
 
 def test_scans_read_only_needed_columns(spark):
-    text = plan(QUERIES["largest_source"](spark, SF_DIR))
+    from tagloom.sources.readers import largest_candidate
+
+    text = plan(largest_candidate(spark.read.parquet(f"{SF_DIR}/documents.parquet"), "source"))
     assert "ReadSchema: struct<source:string>" in text
     assert "partial_count" in text
 
