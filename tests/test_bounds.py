@@ -58,3 +58,49 @@ def test_model_calls_hold_few_rows():
     assert max(b.num_rows for b in found) <= inference.HELD_ROWS
     assert pa.Table.from_batches(found).column("emb").to_pylist() == [[float(len(str(i)))] for i in range(2_100)]
     assert called == [200] * 10 + [100]
+
+
+def _near_one(spark):
+    """A note near all of 300 objectives, and one near none."""
+    notes = spark.createDataFrame(
+        [("a", "near " * 9, 9, [1.0, 0.0]), ("b", "far", 1, [0.0, 1.0])], "guid string, card string, tokens int, emb array<double>"
+    )
+    asked = spark.range(300).selectExpr(
+        "'t' AS name", "concat('objective ', id) AS learning_objective", "array(1.0D + id, 0.0D) AS emb"
+    )
+    return notes, asked
+
+
+def test_replies_hold_no_texts(spark, monkeypatch):
+    from tagloom.backends import HashJudge
+    from tagloom.plans import jobs
+
+    written = {}
+    plain = jobs.materialise
+
+    def materialise(df, label):
+        written[label] = df.columns
+        return plain(df, label)
+
+    monkeypatch.setattr(jobs, "materialise", materialise)
+    notes, asked = _near_one(spark)
+    for mode in ("eager", "lazy"):
+        written.clear()
+        rated = jobs.select_pairs(notes, asked, inference.Judge(HashJudge()), jobs.SelectParams(mode=mode))
+        cards = {(r["guid"], r["card"]) for r in rated.collect()}
+        assert cards == {("a", "near " * 9), ("b", "far")}
+        assert "card" not in written["replies"] and "card" not in written["candidates"]
+
+
+def test_a_note_near_all_is_rated_in_several_tasks(spark):
+    from pyspark.sql import functions as F
+
+    from tagloom.plans import jobs
+
+    notes, asked = _near_one(spark)
+    found = jobs.find_candidates(notes, asked)
+    dealt = jobs._with_texts(found.near, found, tasks=4)
+    tasks = dealt.filter("guid = 'a'").groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in tasks) == 300 and len(tasks) > 1
+    plain = jobs.candidate_pairs(notes, asked).select("obj_id", "guid", "card", "rank")
+    assert sorted(dealt.select(plain.columns).collect()) == sorted(plain.collect())
