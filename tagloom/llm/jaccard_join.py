@@ -12,7 +12,7 @@ of bounded size, which counts each link once and never writes pairs.
 Splitting never thins out a bucket of near copies, which share all their tokens. So the sets of a
 large bucket are first compared with a few leaders out of it, and those that look like one join its
 family. If all but `limit` sets are of one family, the others meet every part of it by brute force
-and the bucket is done. Else it is split, and deeper buckets that hold one family alone are
+and the bucket is done. So is one of few parts, which meet pair by pair. Else it is split, and deeper buckets that hold one family alone are
 dropped: their sets are in one cluster already, whose links are all counted.
 
 Rules for odd input: words are runs of characters other than ASCII white space, in lower case;
@@ -47,6 +47,9 @@ LEVELS = 6
 #: Sets in a bucket that is compared by brute force, and in a block of exact comparison.
 LIMIT = 2048
 BLOCK = 2048
+#: Parts of `limit` sets of a bucket that meet pair by pair. So a set has as many copies; split, it has
+#: SHARED / SIMILARITY on every further level, and a bucket of sets that share a passage gets no smaller.
+PAIRED = 4
 #: Tokens of all the sets in such a block, on average.
 BLOCK_TOKENS = 1 << 19
 #: Sets of a large bucket that the others are first compared with.
@@ -563,11 +566,11 @@ def _classes(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RE
         settled = led.filter(F.col("others").between(1, LIMIT))
         buckets.append(settled.select("path", F.explode(meeting).alias("part"), "node", known))
         large = led.filter(F.col("others") > LIMIT)
-        if large.isEmpty():
-            break
-        if level == LEVELS - 1:
-            pairs = _pair_parts(large.drop("part"), parts)
-            buckets.append(pairs.select("path", "part", "node", F.lit(0).alias("known")))
+        paired = large if level == LEVELS - 1 else large.filter(F.col("size") <= PAIRED * LIMIT)
+        pairs = _pair_parts(paired.drop("part"), parts)
+        buckets.append(pairs.select("path", "part", "node", F.lit(0).alias("known")))
+        large = large.filter(F.col("size") > PAIRED * LIMIT)
+        if level == LEVELS - 1 or large.isEmpty():
             break
         if sets is None:
             wanted = large.select("node").distinct().join(nodes, "node")

@@ -291,3 +291,21 @@ def test_one_junk_row_does_not_move_the_limit(spark):
     junk = [(9000 + k, "zq xv " * 50, "en") for k in range(1)]
     mixed = language_id.train(spark.createDataFrame(rows + junk, "doc_id long, text string, lang string"))
     assert np.allclose(plain.limits[0][[0, 3]], mixed.limits[0][[0, 3]], rtol=0.1)
+
+
+def test_sets_that_share_a_passage_are_not_split_over_and_over(spark, monkeypatch):
+    """A bucket of some parts whose sets are no copies meets pair by pair; no level makes more rows of it."""
+    from tagloom.llm import jaccard_join
+
+    def never(*_):
+        raise AssertionError("split")
+
+    monkeypatch.setattr(jaccard_join, "LIMIT", 40)
+    monkeypatch.setattr(jaccard_join, "split", never)
+    passage = " ".join(f"common{i}" for i in range(60))
+    texts = [passage + " " + " ".join(f"own{k}word{i}" for i in range(40)) for k in range(118)]
+    texts += [texts[7] + " more", texts[60] + " more"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in jaccard_join.join(docs).collect()}
+    near = {7: 7, 118: 7, 60: 60, 119: 60}
+    assert found == {k: (near.get(k, k), int(k in near)) for k in range(120)}
