@@ -540,8 +540,10 @@ def _classes(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RE
     members = nodes.select(F.explode("paths").alias("path"), "node", F.col("node").alias("family"))
     buckets, edges, sets = [], [], None
     for level in range(LEVELS):
+        # Dealt once: the counts read all columns, so that both sides of the join are the same shuffle.
+        members = members.repartition("path")
         counts = members.groupBy("path").agg(
-            F.count("*").alias("size"), F.min("family").alias("low"), F.max("family").alias("high")
+            F.count("node").alias("size"), F.min("family").alias("low"), F.max("family").alias("high")
         )
         # Alone, or among one family, a set has nothing to find.
         members = members.join(counts.filter("low < high").select("path", "size"), "path")
