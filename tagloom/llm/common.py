@@ -33,7 +33,7 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 def numbered(docs: DataFrame, name: str = "row") -> DataFrame:
     """The rows with a number of their own, written once so that each keeps it."""
-    return materialise(docs.withColumn(name, F.monotonically_increasing_id()), "rows")
+    return materialise(docs.withColumn(name, F.monotonically_increasing_id()), "rows", "zstd")
 
 
 _kept: dict[str, Any] = {}

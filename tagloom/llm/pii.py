@@ -196,7 +196,10 @@ def _matches(kind: str, text: Column, pattern: str, may: Column) -> Column:
 
 
 def find(docs: DataFrame) -> DataFrame:
-    """Add `base` and `loose`, the strict matches and the other candidates of every text."""
+    """Add `base` and `loose`, the strict matches and the other candidates of every text.
+
+    Nothing is written, since the rows hold whole texts: who reads the result twice matches twice.
+    """
     text = F.coalesce("text", F.lit(""))
     number = text.rlike("[0-9]")
     spoken = r" at [A-Za-z0-9-]{1,63}+(?: ?[\[(]dot[\])]| dot |\.)"
@@ -211,7 +214,7 @@ def find(docs: DataFrame) -> DataFrame:
     base = [strict(k) for k in KINDS]
     loose = [_matches(k, text, LOOSE[k], may_loose[k]) for k in KINDS]
     found = docs.withColumns({"base": F.concat(*base), "loose": F.concat(*loose)})
-    return materialise(found, "found").withColumn("loose", _apart(F.col("base"), F.col("loose")))
+    return found.withColumn("loose", _apart(F.col("base"), F.col("loose")))
 
 
 def _per_kind(kind: Column, by_kind) -> Column:
@@ -350,7 +353,10 @@ def fit(found: DataFrame) -> Model:
 
 
 def annotate(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` with `base` and `spans`: base spans and those that the method adds."""
+    """The rows of `docs` with `base` and `spans`: base spans and those that the method adds.
+
+    Reads `docs` twice, first for the classifier, of which only the candidates are written.
+    """
     found = find(docs)
     model = fit(found)
     added = F.filter("loose", model.accepts)
