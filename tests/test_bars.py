@@ -75,17 +75,28 @@ def test_rough_products_spare_double_ones(monkeypatch):
     assert sum(scored) * 10 < 20_000 * 64
 
 
+def test_many_groups_are_merged_in_two_steps(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "MERGE_SPLITS", 4)
+    notes = np.repeat(RNG.integers(-3, 4, (150, 4)), 4, axis=0).astype(float)
+    found = topk_similar(
+        vectors(spark, notes, "guid").repartition(5), vectors(spark, notes[::9], "obj_id"), 7, block_bytes=300
+    )
+    assert got(found) == ranked(notes, notes[::9], 7)
+    ranks = found.filter("obj_id = 3").orderBy(F.desc("cosine_sim"), "guid").collect()
+    assert [r["rank"] for r in ranks] == list(range(1, 8))
+
+
 @pytest.mark.parametrize("budget", [None, 200])
 def test_blocks_start_from_a_bar(spark, monkeypatch, budget):
     """Groups pass on few rows more than the result has."""
     leaving = []
-    keep_best = similarity._keep_best
+    merge = similarity._merge_lists
 
     def counted(df, *options):
-        leaving.append(df.count())
-        return keep_best(df, *options)
+        leaving.append(df.agg(F.sum(F.size("found"))).first()[0])
+        return merge(df, *options)
 
-    monkeypatch.setattr(similarity, "_keep_best", counted)
+    monkeypatch.setattr(similarity, "_merge_lists", counted)
     monkeypatch.setattr(similarity, "POOL_ROWS", 1000)
     raw = RNG.integers(-9, 10, (8000, 8)).astype(float)
     notes = vectors(spark, raw, "guid").withColumn("tokens", F.lit(20))
